@@ -42,8 +42,6 @@ def format_price(price: Column, currency: str = "DZD") -> Column:
 
 
 def signed_percent(change: Column) -> Column:
-    """'+5.2%' or '-3.1%'."""
-    value = F.round(change, 1)
-    return F.concat(
-        F.when(change >= 0, "+").otherwise(""), F.format_string("%.1f%%", value)
-    )
+    """'+5.2%' or '-3.1%'; missing stays missing."""
+    sign = F.when(change >= 0, "+").when(change < 0, "-")
+    return F.concat(sign, F.format_string("%.1f%%", F.round(F.abs(change), 1)))

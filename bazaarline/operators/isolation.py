@@ -1,21 +1,24 @@
 """Isolation trees (Liu, Ting & Zhou 2008) fitted for every group at once.
 
-A tree sees about ``SAMPLE`` rows of its group, so fitting handles at most
-trees x SAMPLE rows of a group however large the group is. All trees of all
-groups descend together, one window over (group, tree, node) per level; the
-rows are shuffled once, by group, and every level then works in place. Cuts
-come from md5 hashes, so a fit is reproducible on any partitioning.
-
-The fitted table has one row per group: ``forest``, an array of trees, each an
-array of nodes in level order. The children of the k-th inner node of such an
-array stand at places 2k and 2k + 1, which is all that a row needs to walk down.
+A tree sees about ``SAMPLE`` rows of its group. The sample is drawn before any
+shuffle, so a group brings at most trees x SAMPLE rows to one task however large
+it is; its trees then grow there level by level in numpy. Cuts come from md5
+hashes, so a fit is the same on any partitioning.
+
+The fitted table has one row per group. Its ``forest`` holds the nodes of all
+trees in flat arrays: the feature and cut of a node, the place of its left child
+(the right one follows; 0 marks a leaf) and a leaf's depth; ``roots`` are the
+places of the tree tops. Scoring a row walks these arrays in a column expression.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import hashlib
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import hash_unit
 from ..functions.staging import stage
@@ -23,6 +26,10 @@ from ..functions.staging import stage
 SAMPLE = 256
 LEVELS = 8  # ceil(log2(SAMPLE))
 EULER = 0.5772156649
+FOREST = (
+    "roots array<int>, feature array<int>, cut array<double>, left array<int>, "
+    "value array<double>, psi double"
+)
 
 
 def path_bonus(n: Column) -> Column:
@@ -33,28 +40,92 @@ def path_bonus(n: Column) -> Column:
 
 
 def _draw(df: DataFrame, keys: Sequence[str], label: Column, trees: int, seed: int) -> DataFrame:
-    """Rows with the array of trees that sample them.
+    """The sampled rows, each with the array of trees that see it.
 
-    Each row has one hash in [0, 1); tree t takes the hashes in a window of
-    length SAMPLE / n that starts at t / trees, wrapping around.
+    A row has one hash in [0, 1); tree t takes the hashes in a stretch of length
+    SAMPLE / n that starts at t / trees, wrapping around.
     """
     sizes = stage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "sizes")
-    share = F.least(F.lit(SAMPLE) / F.col("_n"), F.lit(1.0))
-    numbers = F.sequence(F.lit(0), F.lit(trees - 1))
-    drawn = (
+    share = F.lit(SAMPLE) / F.col("_n")
+    seen_by = lambda t: (F.col("_share") >= 1.0) | (
+        F.pmod(F.col("_u") + t / F.lit(float(trees)), F.lit(1.0)) < F.col("_share")
+    )
+    return (
         df.withColumn("_u", hash_unit(F.concat_ws("|", F.lit(str(seed)), *keys, label)))
         .join(sizes, list(keys))
         .withColumn("_share", share)
-        .withColumn(
-            "_trees",
-            F.filter(
-                numbers,
-                lambda t: (F.col("_share") >= 1.0)
-                | (F.pmod(F.col("_u") + t / F.lit(float(trees)), F.lit(1.0)) < F.col("_share")),
-            ),
-        )
+        .withColumn("_trees", F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), seen_by))
+        .where(F.size("_trees") > 0)
     )
-    return drawn.where(F.size("_trees") > 0).drop("_u", "_share", "_n")
+
+
+def _units(keys: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Two numbers in [0, 1) per key, from the first two words of its md5."""
+    words = b"".join(hashlib.md5(k.encode()).digest()[:8] for k in keys)
+    pairs = np.frombuffer(words, dtype=">u4").reshape(-1, 2) / 2.0**32
+    return pairs[:, 0], pairs[:, 1]
+
+
+def _leaf_bonus(n: np.ndarray) -> np.ndarray:
+    many = np.maximum(n, 3.0)
+    search = 2.0 * (np.log(many - 1) + EULER) - 2.0 * (many - 1) / many
+    return np.where(n > 2, search, np.where(n == 2, 1.0, 0.0))
+
+
+def _grow(keys: Sequence[str], features: Sequence[str], seed: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    def grow(group: pd.DataFrame) -> pd.DataFrame:
+        name = [group[k].iloc[0] for k in keys]
+        x, weight = group[list(features)].to_numpy(float), group["_w"].to_numpy(float)
+        row = np.repeat(np.arange(len(group)), group["_trees"].map(len))
+        tree = np.concatenate(group["_trees"].to_numpy()).astype(np.int64)
+        node = np.ones(len(row), np.int64)
+        text, made, limit, psi = "|".join(map(str, name)), [], None, None
+        for level in range(LEVELS + 1):
+            order = np.lexsort((node, tree))
+            row, tree, node = row[order], tree[order], node[order]
+            new = np.r_[True, (tree[1:] != tree[:-1]) | (node[1:] != node[:-1])]
+            start, at = np.flatnonzero(new), np.cumsum(new) - 1
+            t, k = tree[start], node[start]
+            low = np.minimum.reduceat(x[row], start)
+            high = np.maximum.reduceat(x[row], start)
+            size = np.add.reduceat(weight[row], start)
+            if level == 0:
+                count = np.diff(np.r_[start, len(row)])
+                limit = np.zeros(t.max() + 1, int)
+                limit[t] = [min(int(max(c, 2) - 1).bit_length(), LEVELS) for c in count]
+                psi = size.mean()
+            wide = high > low
+            inner = (level < limit[t]) & wide.any(axis=1)
+            feature, cut = np.zeros(len(t), int), np.zeros(len(t))
+            inside = np.flatnonzero(inner)
+            if len(inside):
+                u, v = _units(f"{seed}|{a}|{text}|{b}" for a, b in zip(t[inside], k[inside]))
+                chosen = wide[inside]
+                pick = np.floor(v * chosen.sum(axis=1)).astype(int)
+                f = np.argmax(np.cumsum(chosen, axis=1) == (pick + 1)[:, None], axis=1)
+                a, b = low[inside, f], high[inside, f]
+                point = a + u * (b - a)
+                # Above the least and not above the greatest value: both sides get a row.
+                feature[inside], cut[inside] = f, np.where(point > a, point, b)
+            made.append((t, k, inner, feature, cut, np.where(inner, 0.0, level + _leaf_bonus(size))))
+            if not len(inside):
+                break
+            go = inner[at]
+            row, tree, node, at = row[go], tree[go], node[go], at[go]
+            node = 2 * node + (x[row, feature[at]] >= cut[at])
+        t, k, inner, feature, cut, value = (np.concatenate(c) for c in zip(*made))
+        order = np.lexsort((k, t))
+        t, inner = t[order], inner[order]
+        first = np.flatnonzero(np.r_[True, t[1:] != t[:-1]])
+        base = np.repeat(first, np.diff(np.r_[first, len(t)]))
+        done = np.cumsum(inner)
+        # In level order the i-th inner node of a tree has its children at 2i and 2i + 1.
+        rank = done - (done[base] - inner[base])
+        left = np.where(inner, base + 2 * rank, 0)
+        out = [first + 1, feature[order], cut[order], left, value[order]]
+        return pd.DataFrame([name + out + [psi]])
+
+    return grow
 
 
 def fit_forest(
@@ -70,106 +141,37 @@ def fit_forest(
 
     ``label`` identifies a row within its group; ``weight`` counts equal rows.
     """
-    keys, features, d = list(keys), list(features), len(features)
-    spark = df.sparkSession
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys, features = list(keys), list(features)
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     weighted = df.withColumn("_w", F.col(weight).cast("double") if weight else F.lit(1.0))
-    rows = (
-        _draw(weighted, keys, label, trees, seed)
-        .select(*keys, *features, "_w", "_trees")
-        # A fixed number of partitions: the rows grow by the number of trees after this.
-        .repartition(width, *keys)
-        .select(*keys, *features, "_w", F.explode("_trees").alias("_tree"))
-        .withColumns(
-            {
-                "_id": F.monotonically_increasing_id(),
-                "_node": F.lit(1),
-                "_open": F.lit(True),
-                "_limit": F.lit(LEVELS),
-                "_psi": F.lit(0.0),
-                "_out": F.expr(
-                    "cast(array() as array<struct<node:int,inner:boolean,feature:int,"
-                    "cut:double,value:double>>)"
-                ),
-            }
-        )
-    )
-    for level in range(LEVELS + 1):
-        node = W.partitionBy(*keys, "_tree", "_node")
-        stats = {
-            "_size": F.sum("_w").over(node),
-            "_rows": F.count(F.lit(1)).over(node),
-            "_head": F.min("_id").over(node),
-        }
-        for i, name in enumerate(features):
-            stats[f"_lo{i}"] = F.min(name).over(node)
-            stats[f"_hi{i}"] = F.max(name).over(node)
-        seen = rows.withColumns(stats)
-        if level == 0:
-            depth = F.length(F.bin(F.greatest(F.col("_rows"), F.lit(2)) - 1))
-            seen = seen.withColumns(
-                {"_limit": F.least(depth, F.lit(LEVELS)), "_psi": F.col("_size")}
-            )
-        key = F.concat_ws("|", F.lit(str(seed)), F.col("_tree"), *keys, F.col("_node"))
-        wide = F.filter(
-            F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"_lo{i}").alias("lo"), F.col(f"_hi{i}").alias("hi"), F.col(features[i]).alias("x")) for i in range(d)]),
-            lambda s: s.hi > s.lo,
-        )
-        seen = seen.withColumn("_wide", wide).withColumn("_inner", F.col("_open") & (F.lit(level) < F.col("_limit")) & (F.size("_wide") > 0))
-        pick = F.floor(hash_unit(key, 9) * F.size("_wide")).cast("int")
-        seen = seen.withColumn("_s", F.when(F.col("_inner"), F.get("_wide", pick)))
-        point = F.col("_s.lo") + hash_unit(key) * (F.col("_s.hi") - F.col("_s.lo"))
-        # A cut above lo and not above hi leaves both sides with a row.
-        seen = seen.withColumn("_point", point).withColumn(
-            "_cut", F.when(F.col("_point") > F.col("_s.lo"), F.col("_point")).otherwise(F.col("_s.hi"))
-        )
-        record = F.struct(
-            F.col("_node").alias("node"),
-            F.col("_inner").alias("inner"),
-            F.coalesce(F.col("_s.i"), F.lit(0)).alias("feature"),
-            F.coalesce(F.col("_cut"), F.lit(0.0)).alias("cut"),
-            F.when(F.col("_inner"), 0.0).otherwise(level + path_bonus(F.col("_size"))).alias("value"),
-        )
-        tells = F.col("_open") & (F.col("_id") == F.col("_head"))
-        side = F.when(F.col("_s.x") >= F.col("_cut"), 1).otherwise(0)
-        rows = seen.select(
-            *keys, *features, "_w", "_tree", "_id", "_limit", "_psi",
-            F.when(F.col("_inner"), 2 * F.col("_node") + side).otherwise(F.col("_node")).alias("_node"),
-            F.col("_inner").alias("_open"),
-            F.when(tells, F.concat("_out", F.array(record))).otherwise(F.col("_out")).alias("_out"),
-        )
-    nodes = rows.where(F.size("_out") > 0).select(*keys, "_tree", "_psi", F.explode("_out").alias("_o"))
-    order = W.partitionBy(*keys, "_tree").orderBy("_o.node").rowsBetween(W.unboundedPreceding, 0)
-    inner_so_far = F.sum(F.col("_o.inner").cast("int")).over(order)
-    placed = nodes.withColumn("_left", F.when(F.col("_o.inner"), (2 * inner_so_far).cast("int")).otherwise(0))
-    entry = F.struct("_o.node", "_o.feature", "_o.cut", F.col("_left").alias("left"), "_o.value")
-    return (
-        placed.groupBy(*keys, "_tree")
-        .agg(F.sort_array(F.collect_list(entry)).alias("_nodes"), F.max("_psi").alias("_psi"))
+    sample = _draw(weighted, keys, label, trees, seed).select(*keys, *features, "_w", "_trees")
+    types = ", ".join(f"{k} {dict(df.dtypes)[k]}" for k in keys)
+    # The rows are few but each stands for many steps: keep all partitions.
+    grown = (
+        sample.repartition(width, *keys)
         .groupBy(*keys)
-        .agg(
-            F.sort_array(F.collect_list(F.struct("_tree", "_nodes"))).getField("_nodes").alias("forest"),
-            F.avg("_psi").alias("psi"),
-        )
+        .applyInPandas(_grow(keys, features, seed), f"{types}, {FOREST}")
     )
+    return grown.select(*keys, F.struct("roots", "feature", "cut", "left", "value").alias("forest"), "psi")
 
 
 def forest_depth(features: Sequence[str | Column]) -> Column:
     """Mean isolation depth of a row over the trees of its ``forest`` column."""
     x = F.array(*features)
+    left, cut, feature, value = (F.col(f"forest.{n}") for n in ("left", "cut", "feature", "value"))
 
-    def walk(nodes: Column) -> Column:
-        def step(place: Column, _: Column) -> Column:
-            node = F.get(nodes, place - 1)
-            right = F.when(F.get(x, node.feature) >= node.cut, 1).otherwise(0)
-            return F.when(node.left == 0, place).otherwise(node.left + right)
+    def step(place: Column, _: Column) -> Column:
+        below = F.get(left, place - 1)
+        right = (F.get(x, F.get(feature, place - 1)) >= F.get(cut, place - 1)).cast("int")
+        return F.when(below == 0, place).otherwise(below + right)
 
+    def walk(root: Column) -> Column:
         return F.aggregate(
-            F.sequence(F.lit(1), F.lit(LEVELS)), F.lit(1), step, lambda place: F.get(nodes, place - 1).value
+            F.sequence(F.lit(1), F.lit(LEVELS)), root, step, lambda place: F.get(value, place - 1)
         )
 
-    total = F.aggregate("forest", F.lit(0.0), lambda acc, nodes: acc + walk(nodes))
-    return total / F.size("forest")
+    total = F.aggregate("forest.roots", F.lit(0.0), lambda acc, root: acc + walk(root))
+    return total / F.size("forest.roots")
 
 
 def isolation_score(features: Sequence[str | Column]) -> Column:
