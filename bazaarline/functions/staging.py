@@ -35,3 +35,13 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows by key over all shuffle partitions, small as they may be.
+
+    For steps that cost much per row: adaptive execution would merge small
+    partitions by their bytes and leave most cores idle.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(width, *keys)

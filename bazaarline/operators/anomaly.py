@@ -12,12 +12,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.scalars import ratio, snap
-from ..functions.staging import stage
+from ..functions.staging import spread, stage
 from ..settings import Settings
 from ..sources.validate import require_columns
-from .boundary import boundary_similarity, fit_boundary
+from .boundary import add_similarity, fit_boundary
 from .features import GROUP, last_rows, over_time
-from .isolation import fit_forest, isolation_score
+from .isolation import add_isolation_score, fit_forest
 
 FEATURES = ["price", "diff", "diff_pct", "roll_mean", "roll_std", "z_score"]
 SCALED = [f"s_{f}" for f in FEATURES]
@@ -98,7 +98,8 @@ def fit_detector(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The detector table of every series with at least ``MIN_ROWS`` rows."""
     require_columns(df, ["date", "product", "region", "price"])
     featured = stage(
-        detection_features(df, settings.window).select(*GROUP, "date", *FEATURES), "featured"
+        detection_features(spread(df, *GROUP), settings.window).select(*GROUP, "date", *FEATURES),
+        "featured",
     )
     parameters = stage(
         scale_parameters(featured).where(F.col("fit_rows") >= MIN_ROWS), "scalers"
@@ -135,18 +136,15 @@ def composite_score(df: DataFrame, threshold: Column | float = 0.7) -> DataFrame
 
 
 def raw_scores(df: DataFrame, detector: DataFrame) -> DataFrame:
-    """Isolation score and boundary similarity of rows with detection features.
+    """``_if`` and ``_svm``: isolation score and boundary similarity of featured rows.
 
-    Series without a detector keep their rows, with missing raw scores.
+    Series without a detector keep their rows, with missing raw scores. The rows
+    must differ from each other, which one row per series and date does.
     """
-    joined = apply_scale(df.join(detector, GROUP, "left"))
-    fitted = F.col("forest").isNotNull()
-    return joined.select(
-        *df.columns,
-        F.when(fitted, -isolation_score(SCALED)).alias("_if"),
-        F.when(fitted, boundary_similarity(SCALED)).alias("_svm"),
-        *(["threshold"] if "threshold" in detector.columns else []),
-    )
+    scales = detector.select(*GROUP, "means", "deviations")
+    scaled = apply_scale(df.join(scales, GROUP, "left")).select(*df.columns, *SCALED)
+    isolated = add_isolation_score(scaled, detector, GROUP, SCALED, "_if")
+    return add_similarity(isolated, detector, GROUP, SCALED, "_svm")
 
 
 def predict(
@@ -157,14 +155,15 @@ def predict(
     order: Sequence[str] = ("date",),
 ) -> DataFrame:
     """``if_score``, ``svm_score``, ``anomaly_score`` and ``is_anomaly`` of every row."""
-    featured = detection_features(df, settings.window, keys, order)
+    featured = detection_features(spread(df, *GROUP), settings.window, keys, order)
     raw = raw_scores(featured, detector)
-    saved = F.col("threshold") if "threshold" in raw.columns else F.lit(None).cast("double")
-    threshold = F.coalesce(saved, F.lit(settings.alert_threshold))
-    # Six digits, so that rounding noise cannot stand in for a spread.
+    threshold = F.lit(settings.alert_threshold)
+    if "threshold" in detector.columns:
+        threshold = detector.agg(F.max("threshold")).scalar()
+    # Fixed digits, so that rounding noise cannot stand in for a spread.
     scores = raw.withColumns(
         {
-            "if_score": F.coalesce(normalise_score(snap(F.col("_if"), 9), keys), F.lit(0.0)),
+            "if_score": F.coalesce(normalise_score(snap(-F.col("_if"), 9), keys), F.lit(0.0)),
             "svm_score": F.coalesce(normalise_score(snap(F.col("_svm"), 9), keys), F.lit(0.0)),
         }
     )
@@ -260,7 +259,7 @@ def isolation_score_simple(
     """
     names = ["price", "pct_change_1m", "rolling_3m"]
     series = W.partitionBy(*GROUP)
-    filled = df.withColumns({f"_{n}": F.coalesce(F.col(n), F.lit(0.0)) for n in names})
+    filled = spread(df, *GROUP).withColumns({f"_{n}": F.coalesce(F.col(n), F.lit(0.0)) for n in names})
     scale = lambda n: F.coalesce(
         ratio(F.col(n) - F.min(n).over(series), F.max(n).over(series) - F.min(n).over(series)), F.lit(0.0)
     )
@@ -269,8 +268,8 @@ def isolation_score_simple(
     enough = scaled.groupBy(*GROUP).count().where(F.col("count") >= min_rows).select(*GROUP)
     fitted = scaled.join(enough, GROUP, "left_semi").select(*GROUP, "date", *features)
     forest = stage(fit_forest(fitted, GROUP, features, day_label(), trees, seed), "forest")
-    decision = F.when(F.col("forest").isNotNull(), snap(-isolation_score(features), 9))
-    raw = scaled.join(forest, GROUP, "left").select(*df.columns, decision.alias("_d"))
+    raw = add_isolation_score(scaled, forest, GROUP, features, "_s")
+    raw = raw.withColumn("_d", snap(-F.col("_s"), 9))
     low, high = F.min("_d").over(series), F.max("_d").over(series)
     odd = 1 - (F.col("_d") - low) / (high - low + 1e-9)
     scored = raw.withColumn("_odd", F.coalesce(odd, F.lit(0.0)))

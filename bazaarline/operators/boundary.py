@@ -11,6 +11,7 @@ before the shuffle, and a new row needs only those means.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 from math import sqrt
 from statistics import NormalDist
 
@@ -38,34 +39,35 @@ def frequencies(gamma: float, dims: int, count: int = FREQUENCIES) -> list[list[
     ]
 
 
-def _phase(features: Sequence[str | Column], w: Column) -> Column:
-    columns = [F.col(f) if isinstance(f, str) else f for f in features]
-    total = columns[0] * F.get(w, F.lit(0))
-    for i, x in enumerate(columns[1:], start=1):
-        total = total + x * F.get(w, F.lit(i))
-    return total
+def _phase(features: Sequence[str], wave: Column) -> Column:
+    return reduce(
+        lambda total, term: total + term,
+        [F.col(f) * F.get(wave, F.lit(i)) for i, f in enumerate(features)],
+    )
 
 
 def fit_boundary(
     df: DataFrame, keys: Sequence[str], features: Sequence[str], gamma: float | None = None
 ) -> DataFrame:
-    """One row per group: keys and ``boundary``, an array of (w, cos mean, sin mean)."""
+    """One row per group: keys and ``boundary``, an array of (w, cosine mean, sine mean)."""
     gamma = 1.0 / len(features) if gamma is None else gamma
     table = F.lit(frequencies(gamma, len(features)))
     spread = df.select(*keys, *features, F.posexplode(table).alias("_j", "_wave"))
     phase = _phase(features, F.col("_wave"))
-    means = spread.groupBy(*keys, "_j", "_wave").agg(
+    means = spread.groupBy(*keys, "_j").agg(
         F.avg(F.cos(phase)).alias("c"), F.avg(F.sin(phase)).alias("s")
     )
-    entry = F.struct("_j", F.col("_wave").alias("w"), "c", "s")
+    entry = F.struct("_j", F.get(table, F.col("_j")).alias("w"), "c", "s")
     return means.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("boundary"))
 
 
-def boundary_similarity(features: Sequence[str | Column]) -> Column:
-    """Mean similarity of a row to the group of its ``boundary`` column."""
-
-    def add(acc: Column, e: Column) -> Column:
-        phase = _phase(features, e.w)
-        return acc + e.c * F.cos(phase) + e.s * F.sin(phase)
-
-    return F.aggregate("boundary", F.lit(0.0), add) / F.size("boundary")
+def add_similarity(
+    df: DataFrame, boundary: DataFrame, keys: Sequence[str], features: Sequence[str], out: str
+) -> DataFrame:
+    """Mean similarity of distinct rows to their group; missing for an unknown group."""
+    waves = df.join(boundary.select(*keys, "boundary"), list(keys), "left").select(
+        *df.columns, F.explode_outer("boundary").alias("_e")
+    )
+    phase = _phase(features, F.col("_e.w"))
+    mean = F.avg(F.col("_e.c") * F.cos(phase) + F.col("_e.s") * F.sin(phase))
+    return waves.groupBy(*df.columns).agg(mean.alias(out))

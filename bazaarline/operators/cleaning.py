@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.quantiles import attach, group_quantiles
 from ..functions.scalars import known, present
-from ..functions.staging import stage
+from ..functions.staging import spread, stage
 from ..settings import Settings
 from ..sources.validate import require_columns, validate_table
-from .isolation import fit_forest, forest_depth
+from .isolation import add_isolation_score, fit_forest
 
 GROUP = ["product", "region"]
 FINE_GROUP = ["product", "region", "market"]
@@ -189,19 +189,15 @@ def outlier_isolation(
     price = known(df, "price")
     priced = df.where(price.isNotNull()).dropna(subset=keys or None)
     group = keys or ["_all"]
-    values = stage(
-        priced.withColumn("_all", F.lit(1)).groupBy(*group, price.alias("price")).agg(F.count(F.lit(1)).alias("_rows")),
-        "prices",
-    )
+    counted = priced.withColumn("_all", F.lit(1)).groupBy(*group, price.alias("price"))
+    values = counted.agg(F.count(F.lit(1)).alias("_rows"))
+    values = stage(spread(values, *group, "price"), "prices")
     # Equal to a hundredth of a cent means one sampling key; the tree still sees both.
     label = F.floor(F.col("price") * 10000).cast("bigint").cast("string")
     forest = stage(
         fit_forest(values, group, ["price"], label, trees=trees, seed=seed, weight="_rows"), "forest"
     )
-    scored = values.join(forest, group).select(
-        *group, "price", "_rows", (-forest_depth(["price"])).alias("_score")
-    )
-    scored = stage(scored, "price-scores")
+    scored = stage(add_isolation_score(values, forest, group, ["price"], "_score"), "price-scores")
     cut = weighted_quantile(scored, group, "_score", "_rows", 1 - contamination)
     sizes = scored.groupBy(*group).agg(F.sum("_rows").alias("_n"))
     limits = stage(cut.join(sizes, group), "cuts")

@@ -8,7 +8,7 @@ hashes, so a fit is the same on any partitioning.
 The fitted table has one row per group. Its ``forest`` holds the nodes of all
 trees in flat arrays: the feature and cut of a node, the place of its left child
 (the right one follows; 0 marks a leaf) and a leaf's depth; ``roots`` are the
-places of the tree tops. Scoring a row walks these arrays in a column expression.
+places of the tree tops. Scoring a row walks these arrays in column expressions.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scalars import hash_unit
-from ..functions.staging import stage
+from ..functions.staging import spread, stage
 
 SAMPLE = 256
 LEVELS = 8  # ceil(log2(SAMPLE))
@@ -142,38 +142,35 @@ def fit_forest(
     ``label`` identifies a row within its group; ``weight`` counts equal rows.
     """
     keys, features = list(keys), list(features)
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     weighted = df.withColumn("_w", F.col(weight).cast("double") if weight else F.lit(1.0))
     sample = _draw(weighted, keys, label, trees, seed).select(*keys, *features, "_w", "_trees")
     types = ", ".join(f"{k} {dict(df.dtypes)[k]}" for k in keys)
-    # The rows are few but each stands for many steps: keep all partitions.
-    grown = (
-        sample.repartition(width, *keys)
-        .groupBy(*keys)
-        .applyInPandas(_grow(keys, features, seed), f"{types}, {FOREST}")
-    )
+    grow = _grow(keys, features, seed)
+    grown = spread(sample, *keys).groupBy(*keys).applyInPandas(grow, f"{types}, {FOREST}")
     return grown.select(*keys, F.struct("roots", "feature", "cut", "left", "value").alias("forest"), "psi")
 
 
-def forest_depth(features: Sequence[str | Column]) -> Column:
-    """Mean isolation depth of a row over the trees of its ``forest`` column."""
-    x = F.array(*features)
-    left, cut, feature, value = (F.col(f"forest.{n}") for n in ("left", "cut", "feature", "value"))
-
-    def step(place: Column, _: Column) -> Column:
-        below = F.get(left, place - 1)
-        right = (F.get(x, F.get(feature, place - 1)) >= F.get(cut, place - 1)).cast("int")
-        return F.when(below == 0, place).otherwise(below + right)
-
-    def walk(root: Column) -> Column:
-        return F.aggregate(
-            F.sequence(F.lit(1), F.lit(LEVELS)), root, step, lambda place: F.get(value, place - 1)
-        )
-
-    total = F.aggregate("forest.roots", F.lit(0.0), lambda acc, root: acc + walk(root))
-    return total / F.size("forest.roots")
-
+def add_isolation_score(
+    df: DataFrame, forest: DataFrame, keys: Sequence[str], features: Sequence[str], out: str
+) -> DataFrame:
+    """2^(-depth / c(psi)) of distinct rows: near 1 for those that are isolated early.
 
-def isolation_score(features: Sequence[str | Column]) -> Column:
-    """2^(-depth / c(psi)): near 1 for rows that are isolated early."""
-    return F.pow(F.lit(2.0), -forest_depth(features) / path_bonus(F.col("psi")))
+    Rows of a group without a forest get no score. A row is opened into its walks
+    down all trees and closed again by an average within the same stage; a level
+    is one projection, so the walk stays in generated code.
+    """
+    keys = list(keys)
+    nodes = forest.select(*keys, "forest.*", "psi")
+    # The features as one array, made below the join: short generated methods are
+    # compiled, and those over 8000 bytes are not.
+    walk = (
+        df.withColumn("_x", F.array(*features))
+        .join(nodes, keys, "left")
+        .select(*df.columns, "_x", "feature", "cut", "left", "value", "psi", F.explode_outer("roots").alias("_at"))
+    )
+    node = lambda array: F.get(array, F.col("_at") - 1)
+    for _ in range(LEVELS):
+        right = (F.get("_x", node("feature")) >= node("cut")).cast("int")
+        walk = walk.withColumn("_at", F.coalesce(F.nullif(node("left"), F.lit(0)) + right, F.col("_at")))
+    score = F.pow(F.lit(2.0), -F.avg(node("value")) / path_bonus(F.max("psi")))
+    return walk.groupBy(*df.columns).agg(score.alias(out))

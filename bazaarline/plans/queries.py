@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.calendar import BOARD_RAMADAN, SEASONS_FR, add_temporal_features, is_ramadan, season
 from ..functions.scalars import format_price, signed_percent, snap
-from ..functions.staging import new_path, stage
+from ..functions.staging import new_path, spread, stage
 from ..operators import analytics, anomaly, boundary, cleaning, features, forecast, isolation, window_model
 from ..sources import dimensions, readers, sinks
 from . import tables
@@ -348,7 +348,7 @@ def scale_features(spark, sf_dir):
 
 
 def _training(spark, sf_dir):
-    rows = anomaly.scaled_training_rows(stage(tables.known_panel(spark, sf_dir), "panel"))
+    rows = anomaly.scaled_training_rows(spread(tables.known_panel(spark, sf_dir), *anomaly.GROUP))
     return stage(rows.select("product", "region", "date", *anomaly.SCALED), "training")
 
 
@@ -356,16 +356,16 @@ def _training(spark, sf_dir):
 def isolation_score(spark, sf_dir):
     rows = _training(spark, sf_dir)
     forest = stage(isolation.fit_forest(rows, anomaly.GROUP, anomaly.SCALED, anomaly.day_label()), "forest")
-    score = isolation.isolation_score(anomaly.SCALED).alias("score")
-    return snapped(rows.join(forest, anomaly.GROUP).select("product", "region", "date", score))
+    scored = isolation.add_isolation_score(rows, forest, anomaly.GROUP, anomaly.SCALED, "score")
+    return snapped(scored.select("product", "region", "date", "score"))
 
 
 @query
 def boundary_score(spark, sf_dir):
     rows = _training(spark, sf_dir)
     means = stage(boundary.fit_boundary(rows, anomaly.GROUP, anomaly.SCALED), "boundary")
-    score = boundary.boundary_similarity(anomaly.SCALED).alias("score")
-    return snapped(rows.join(means, anomaly.GROUP).select("product", "region", "date", score))
+    scored = boundary.add_similarity(rows, means, anomaly.GROUP, anomaly.SCALED, "score")
+    return snapped(scored.select("product", "region", "date", "score"))
 
 
 @query
