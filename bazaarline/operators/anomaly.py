@@ -97,20 +97,31 @@ def day_label() -> Column:
 def fit_detector(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The detector table of every series with at least ``MIN_ROWS`` rows."""
     require_columns(df, ["date", "product", "region", "price"])
-    featured = stage(
-        detection_features(spread(df, *GROUP), settings.window).select(*GROUP, "date", *FEATURES),
-        "featured",
+    series = W.partitionBy(*GROUP)
+    spreads = [F.stddev_pop(f).over(series) for f in FEATURES]
+    scaled = (
+        detection_features(spread(df, *GROUP), settings.window)
+        .withColumns(
+            {
+                "means": F.array(*[F.avg(f).over(series) for f in FEATURES]),
+                "deviations": F.array(*[F.when(d == 0, 1.0).otherwise(d) for d in spreads]),
+                "fit_rows": F.count(F.lit(1)).over(series),
+            }
+        )
+        .where(F.col("fit_rows") >= MIN_ROWS)
     )
-    parameters = stage(
-        scale_parameters(featured).where(F.col("fit_rows") >= MIN_ROWS), "scalers"
+    kept = ["means", "deviations", "fit_rows"]
+    scaled = stage(apply_scale(scaled).select(*GROUP, "date", *SCALED, *kept), "scaled")
+    parameters = scaled.groupBy(*GROUP).agg(*[F.any_value(c).alias(c) for c in kept])
+    forest = fit_forest(
+        scaled, GROUP, SCALED, day_label(), settings.trees, settings.seed, sizes="fit_rows"
     )
-    scaled = scale_features(featured, parameters).select(*GROUP, "date", *SCALED)
-    forest = fit_forest(scaled, GROUP, SCALED, day_label(), settings.trees, settings.seed)
     boundary = fit_boundary(scaled, GROUP, SCALED)
     return stage(parameters.join(forest, GROUP).join(boundary, GROUP), "detector")
 
 
 def save_detector(detector: DataFrame, path: str, threshold: float = 0.7) -> None:
+    """One Parquet table with the alert threshold in a column."""
     detector.withColumn("threshold", F.lit(threshold)).write.mode("overwrite").parquet(path)
 
 

@@ -39,20 +39,25 @@ def path_bonus(n: Column) -> Column:
     return F.when(n > 2, many).when(n == 2, 1.0).otherwise(0.0)
 
 
-def _draw(df: DataFrame, keys: Sequence[str], label: Column, trees: int, seed: int) -> DataFrame:
+def _draw(
+    df: DataFrame, keys: Sequence[str], label: Column, trees: int, seed: int, sizes: str | None
+) -> DataFrame:
     """The sampled rows, each with the array of trees that see it.
 
     A row has one hash in [0, 1); tree t takes the hashes in a stretch of length
     SAMPLE / n that starts at t / trees, wrapping around.
     """
-    sizes = stage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "sizes")
+    if sizes is None:
+        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        sized = df.join(stage(counts, "sizes"), list(keys))
+    else:
+        sized = df.withColumn("_n", F.col(sizes))
     share = F.lit(SAMPLE) / F.col("_n")
     seen_by = lambda t: (F.col("_share") >= 1.0) | (
         F.pmod(F.col("_u") + t / F.lit(float(trees)), F.lit(1.0)) < F.col("_share")
     )
     return (
-        df.withColumn("_u", hash_unit(F.concat_ws("|", F.lit(str(seed)), *keys, label)))
-        .join(sizes, list(keys))
+        sized.withColumn("_u", hash_unit(F.concat_ws("|", F.lit(str(seed)), *keys, label)))
         .withColumn("_share", share)
         .withColumn("_trees", F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), seen_by))
         .where(F.size("_trees") > 0)
@@ -136,14 +141,16 @@ def fit_forest(
     trees: int = 100,
     seed: int = 42,
     weight: str | None = None,
+    sizes: str | None = None,
 ) -> DataFrame:
     """One row per group: keys, ``forest`` and ``psi`` (mean rows seen by a tree).
 
-    ``label`` identifies a row within its group; ``weight`` counts equal rows.
+    ``label`` identifies a row within its group; ``weight`` counts equal rows;
+    ``sizes`` names a column with the group's number of rows, if there is one.
     """
     keys, features = list(keys), list(features)
     weighted = df.withColumn("_w", F.col(weight).cast("double") if weight else F.lit(1.0))
-    sample = _draw(weighted, keys, label, trees, seed).select(*keys, *features, "_w", "_trees")
+    sample = _draw(weighted, keys, label, trees, seed, sizes).select(*keys, *features, "_w", "_trees")
     types = ", ".join(f"{k} {dict(df.dtypes)[k]}" for k in keys)
     grow = _grow(keys, features, seed)
     grown = spread(sample, *keys).groupBy(*keys).applyInPandas(grow, f"{types}, {FOREST}")
