@@ -1,11 +1,14 @@
 """Exact interpolated quantiles of groups of any size.
 
 ``percentile`` keeps every distinct value of a group in one task. Here a sketch
-first brackets each wanted rank, then one pass counts what lies below the
-bracket (map-side, to one row) and keeps only the values inside it, so the
-ordered step sees about 2 * MARGIN of a group's distinct values. The sketch's
-rank error is at most 1 / ACCURACY of the group, far less than MARGIN, so the
-bracket always holds the wanted ranks and the result is exact.
+first brackets each wanted rank; one pass then counts what lies below a bracket
+(map-side, to one row) and keeps only the values inside it, about 2 * MARGIN of
+a group. Equal-width classes of the bracket narrow these to the class that holds
+the rank, and only the values of that class are put in order.
+
+The sketch's rank error is at most 1 / ACCURACY of the group, so in a group of
+more than SMALL rows the bracket holds the wanted ranks and the result is exact:
+(MARGIN - 1 / ACCURACY) * SMALL is more than the two ranks that rounding can take.
 """
 
 from __future__ import annotations
@@ -18,7 +21,8 @@ from .staging import stage
 
 MARGIN = 0.002
 ACCURACY = 2000
-SMALL = 5000  # groups up to this size are ordered whole
+SMALL = 2000  # groups up to this size are ordered whole
+CLASSES = 1024
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -70,23 +74,41 @@ def group_quantiles(
         )
 
     brackets = sketch.select(*keys, F.array(*[mark(i) for i in range(k)]).alias("_marks"))
-    # (group, mark, null) counts the rows below a bracket; (group, mark, v) those on v.
+    value, low = F.col("_v"), F.col("_m.lo")
+    width = F.greatest(F.col("_m.hi") - low, F.lit(1e-300))
+    place = F.least(F.floor((value - low) / width * CLASSES), F.lit(CLASSES - 1))
+    inside = value >= low
+    # (group, mark, -1, null) counts the rows below a bracket, the others those on a value.
     counted = (
         attach(rows, brackets, keys)
         .select(*keys, "_v", F.explode("_marks").alias("_m"))
-        .where(F.col("_v") <= F.col("_m.hi"))
+        .where(value <= F.col("_m.hi"))
         .select(
             *keys,
             F.col("_m.i").alias("_i"),
             F.col("_m.h").alias("_h"),
-            F.when(F.col("_v") >= F.col("_m.lo"), F.col("_v")).alias("_v"),
+            F.when(inside, place).otherwise(-1).alias("_k"),
+            F.when(inside, value).alias("_v"),
         )
-        .groupBy(*keys, "_i", "_h", "_v")
+        .groupBy(*keys, "_i", "_h", "_k", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )
-    run = W.partitionBy(*keys, "_i").orderBy(F.col("_v").asc_nulls_first())
-    upto = F.sum("_c").over(run.rowsBetween(W.unboundedPreceding, 0))
-    ranked = counted.withColumn("_upto", upto).withColumn("_from", F.col("_upto") - F.col("_c"))
+    upto = lambda n, *by: F.sum(n).over(
+        W.partitionBy(*keys, *by[:-1]).orderBy(by[-1]).rowsBetween(W.unboundedPreceding, 0)
+    )
+    classes = (
+        counted.groupBy(*keys, "_i", "_h", "_k")
+        .agg(F.sum("_c").alias("_w"))
+        .withColumn("_upto", upto("_w", "_i", "_k"))
+        .withColumn("_before", F.col("_upto") - F.col("_w"))
+        .where((F.col("_k") >= 0) & (F.col("_upto") > F.floor("_h")) & (F.col("_before") <= F.ceil("_h")))
+        .select(*keys, "_i", "_k", "_before")
+    )
+    ranked = (
+        counted.join(classes, [*keys, "_i", "_k"])
+        .withColumn("_upto", F.col("_before") + upto("_c", "_i", "_k", "_v"))
+        .withColumn("_from", F.col("_upto") - F.col("_c"))
+    )
 
     def at(rank: Column, i: int) -> Column:
         hit = (F.col("_i") == i) & (F.col("_from") <= rank) & (rank < F.col("_upto"))

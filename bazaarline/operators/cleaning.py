@@ -21,7 +21,7 @@ from .isolation import add_isolation_score, fit_forest
 
 GROUP = ["product", "region"]
 FINE_GROUP = ["product", "region", "market"]
-SLOTS = 64  # pieces of one date in interpolation
+SLOTS = 64  # pieces of one midnight, and of the rest of that day, in interpolation
 
 
 def standardise_types(
@@ -76,25 +76,30 @@ def impute_interpolate(df: DataFrame) -> DataFrame:
     """Linear by row position, then the last known price forward, then the first back.
 
     Rows are ordered by date within (product, region, market); rows of one date
-    are ordered by a hash of their other columns. A chunk is one slot of one
-    date. Positions and known prices at chunk borders come from a table with a
-    row per chunk, so a group's rows are never brought together.
+    are ordered by a hash of their other columns. A chunk is one slot of a day:
+    a share of the hashes at midnight, a stretch of time after it. Positions and
+    known prices at chunk borders come from a table with a row per chunk, which
+    the calendar bounds, so a group's rows are never brought together.
     """
     keys = present(df, FINE_GROUP)
     rest = [c for c in df.columns if c not in (*keys, "date", "price")]
     source = df.withColumn("price", known(df, "price")).dropna(subset=keys or None)
     tie = F.xxhash64(*rest, "price") if rest else F.xxhash64("price")
-    chunk = [*keys, "date", "_slot"]
-    inside = W.partitionBy(*chunk).orderBy("_tie", *rest, "price")
+    chunk = [*keys, "_day", "_slot"]
+    inside = W.partitionBy(*chunk).orderBy("date", "_tie", *rest, "price")
+    second = F.hour("date") * 3600 + F.minute("date") * 60 + F.second("date")
+    timed = SLOTS + F.floor(second * SLOTS / 86400)
+    midnight = F.col("date") == F.col("_day")
     place = F.struct(F.col("_pos").alias("pos"), F.col("price").alias("price"))
     known_place = F.when(F.col("price").isNotNull(), place)
     rows = (
         source.withColumn("_tie", tie)
-        .withColumn("_slot", F.pmod("_tie", F.lit(SLOTS)))
+        .withColumn("_day", F.to_date("date"))
+        .withColumn("_slot", F.when(midnight, F.pmod("_tie", F.lit(SLOTS))).otherwise(timed))
         .withColumn("_pos", F.row_number().over(inside))
         .withColumn("_known", known_place)
     )
-    along = W.partitionBy(*keys).orderBy("date", "_slot")
+    along = W.partitionBy(*keys).orderBy("_day", "_slot")
     before = along.rowsBetween(W.unboundedPreceding, -1)
     after = along.rowsBetween(1, W.unboundedFollowing)
     moved = lambda name: F.when(

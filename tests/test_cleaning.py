@@ -50,16 +50,20 @@ def test_interpolation_of_gaps(spark):
     assert by_date(C.impute_interpolate(series(spark, [None, None]))) == []
 
 
-def test_interpolation_of_raw_rows_with_ties_and_a_hot_group(spark):
+@pytest.mark.parametrize("timed", [False, True])
+def test_interpolation_of_raw_rows_with_ties_and_a_hot_group(spark, timed):
     rng = np.random.default_rng(1)
     rows = []
     for i in range(3000):
         product = "hot" if i < 1000 else f"p{i % 7}"
         price = None if rng.random() < 0.4 else float(rng.uniform(1, 100))
-        rows.append((date(2020, 1, 1) + timedelta(days=int(rng.integers(0, 20))), product, "R", f"m{i % 3}", i, price))
-    df = spark.createDataFrame(rows, "date date, product string, region string, market string, id int, price double")
+        minutes = int(rng.integers(0, 1440)) if timed and i % 2 else 0
+        when = datetime(2020, 1, 1) + timedelta(days=int(rng.integers(0, 20)), minutes=minutes)
+        rows.append((when, product, "R", f"m{i % 3}", i, price))
+    df = spark.createDataFrame(rows, "date timestamp_ntz, product string, region string, market string, id int, price double")
     tie = F.xxhash64("id", "price")
     order = df.select("*", tie.alias("tie"), F.pmod(tie, F.lit(C.SLOTS)).alias("slot")).toPandas()
+    order.loc[order["date"].dt.normalize() != order["date"], "slot"] = 0
     order = order.sort_values(["date", "slot", "tie"])
     want = order.groupby(["product", "region", "market"])["price"].transform(
         lambda s: s.interpolate(method="linear").ffill().bfill()
