@@ -22,6 +22,7 @@ from .isolation import add_isolation_score, fit_forest
 FEATURES = ["price", "diff", "diff_pct", "roll_mean", "roll_std", "z_score"]
 SCALED = [f"s_{f}" for f in FEATURES]
 MIN_ROWS = 10
+PART = 1000  # new observations of one series scored together
 
 # Lower ends of the severity grades and their labels.
 GRADES = (0.95, 0.85, 0.75)
@@ -146,16 +147,17 @@ def composite_score(df: DataFrame, threshold: Column | float = 0.7) -> DataFrame
     )
 
 
-def raw_scores(df: DataFrame, detector: DataFrame) -> DataFrame:
+def raw_scores(df: DataFrame, detector: DataFrame, on: Sequence[str] = GROUP) -> DataFrame:
     """``_if`` and ``_svm``: isolation score and boundary similarity of featured rows.
 
     Series without a detector keep their rows, with missing raw scores. The rows
     must differ from each other, which one row per series and date does.
     """
-    scales = detector.select(*GROUP, "means", "deviations")
-    scaled = apply_scale(df.join(scales, GROUP, "left")).select(*df.columns, *SCALED)
-    isolated = add_isolation_score(scaled, detector, GROUP, SCALED, "_if")
-    return add_similarity(isolated, detector, GROUP, SCALED, "_svm")
+    on = list(on)
+    scales = detector.select(*on, "means", "deviations")
+    scaled = apply_scale(df.join(scales, on, "left")).select(*df.columns, *SCALED)
+    isolated = add_isolation_score(scaled, detector, on, SCALED, "_if")
+    return add_similarity(isolated, detector, on, SCALED, "_svm")
 
 
 def predict(
@@ -164,10 +166,15 @@ def predict(
     settings: Settings = Settings(),
     keys: Sequence[str] = GROUP,
     order: Sequence[str] = ("date",),
+    on: Sequence[str] = GROUP,
 ) -> DataFrame:
-    """``if_score``, ``svm_score``, ``anomaly_score`` and ``is_anomaly`` of every row."""
-    featured = detection_features(spread(df, *GROUP), settings.window, keys, order)
-    raw = raw_scores(featured, detector)
+    """``if_score``, ``svm_score``, ``anomaly_score`` and ``is_anomaly`` of every row.
+
+    ``keys`` and ``order`` describe a series, ``on`` the part of the keys that
+    finds its detector. One shuffle by ``on`` serves all windows and joins.
+    """
+    featured = detection_features(spread(df, *on), settings.window, keys, order)
+    raw = raw_scores(featured, detector, on)
     threshold = F.lit(settings.alert_threshold)
     if "threshold" in detector.columns:
         threshold = detector.agg(F.max("threshold")).scalar()
@@ -236,18 +243,31 @@ def score_new_observations(
 
     Every observation is placed in its own copy of the history of its series, so
     observations do not affect each other. A history is bounded by its calendar.
+    A series with many observations is cut into parts of about ``PART``, each with
+    a copy of the history and the detector, so no task gets more than one part.
     ``found`` is false, and the figures missing, where there is no history.
     """
-    columns = ["obs_id", *GROUP, "date", "price", "_new"]
-    copies = (
-        new.select("obs_id", *GROUP)
-        .join(history.select(*GROUP, "date", "price"), GROUP)
-        .withColumn("_new", F.lit(False))
+    counts = new.groupBy(*GROUP).agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("_parts"))
+    parts = stage(counts, "parts")
+    on = [*GROUP, "_part"]
+
+    def in_parts(df: DataFrame) -> DataFrame:
+        numbers = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+        return df.join(parts, GROUP).withColumn("_part", numbers).drop("_parts")
+
+    series = ["obs_id", *on]
+    columns = [*series, "date", "price", "_new"]
+    part = F.pmod(F.xxhash64("obs_id"), F.col("_parts")).cast("int")
+    own = (
+        new.join(parts, GROUP)
+        .withColumns({"_part": part, "_new": F.lit(True)})
+        .join(history.select(*GROUP).distinct(), GROUP, "left_semi")
+        .select(*columns)
     )
-    own = new.join(history.select(*GROUP), GROUP, "left_semi").withColumn("_new", F.lit(True))
-    extended = copies.select(*columns).unionByName(own.select(*columns))
-    series = ["obs_id", *GROUP]
-    scored = predict(extended, detector, settings, series, ("date", "_new")).where("_new")
+    past = in_parts(history.select(*GROUP, "date", "price"))
+    copies = own.select(*series).join(past, on).withColumn("_new", F.lit(False))
+    extended = own.unionByName(copies.select(*columns))
+    scored = predict(extended, in_parts(detector), settings, series, ("date", "_new"), on).where("_new")
     figures = scored.select("obs_id", "anomaly_score", "is_anomaly")
     return new.join(figures, "obs_id", "left").select(
         "obs_id",

@@ -79,7 +79,8 @@ def impute_interpolate(df: DataFrame) -> DataFrame:
     are ordered by a hash of their other columns. A chunk is one slot of a day:
     a share of the hashes at midnight, a stretch of time after it. Positions and
     known prices at chunk borders come from a table with a row per chunk, which
-    the calendar bounds, so a group's rows are never brought together.
+    the calendar bounds, so a group's rows are never brought together. Copies of
+    one row share a hash: drop exact duplicates first.
     """
     keys = present(df, FINE_GROUP)
     rest = [c for c in df.columns if c not in (*keys, "date", "price")]

@@ -88,7 +88,9 @@ def test_saved_detector(spark, spiked, scored):
     assert again.exceptAll(scored).count() == 0
 
 
-def test_new_observations_do_not_affect_each_other(spark, spiked):
+@pytest.mark.parametrize("part", [1, 1000])
+def test_new_observations_do_not_affect_each_other(spark, spiked, monkeypatch, part):
+    monkeypatch.setattr(A, "PART", part)
     detector = A.fit_detector(spiked, FAST)
     history = spiked.select(*A.GROUP, "date", "price")
     rows = [("a", "Tomates", "Alger", date(2024, 1, 1), 500.0), ("b", "Tomates", "Alger", date(2024, 1, 1), 100.0), ("c", "Tomates", "Nowhere", date(2024, 1, 1), 1.0)]
