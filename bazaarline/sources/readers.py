@@ -61,7 +61,7 @@ def normalise_columns(df: DataFrame) -> DataFrame:
     named = df.toDF(*names)
     if "value" not in names:
         return named
-    return named.withColumn("value", F.trim("value").try_cast("double") if dict(named.dtypes)["value"] == "string" else F.col("value").cast("double"))
+    return named.withColumn("value", _number("value"))
 
 
 def _number(name: str) -> Column:
