@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, counts, packing, token_files
+from . import bpe, counts, packing, secret_ledger, simhash, token_files
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,10 +41,68 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.drop("text")
 
 
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_ledger.findings(read(spark, sf_dir, "documents"))
+    base = [r.kind for r in secret_ledger.BASE]
+    amount = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *(amount(kind).alias(f"n_{kind}") for kind in base),
+        F.sha2(secret_ledger.listed("findings", base), 256).alias("base_sha256"),
+        secret_ledger.listed("findings", [r.kind for r in secret_ledger.RULES]).alias("spans"),
+    )
+
+
 QUERIES = {
     "op2_bpe": op2_bpe,
     "op3_packing": op3_packing,
     "op5_token_files": op5_token_files,
     "op6_token_counts": op6_token_counts,
+    "op9_simhash": op9_simhash,
+    "op10_secret_ledger": op10_secret_ledger,
 }
-SQL: dict[str, str] = {}
+
+
+def _secret_sql() -> str:
+    """Spans from the lengths of gaps and matches, written out by kind."""
+    assign = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    kinds = [
+        ("assign", assign, 8),
+        ("access", "AKIA[A-Z0-9]+", 16),
+        ("hex", "[0-9a-f]+", 32),
+        ("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 1),
+        ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 1),
+        ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 1),
+        ("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 1),
+    ]
+    parts = []
+    for order, (kind, pattern, least) in enumerate(kinds):
+        p = pattern.replace("'", "''")
+        # short runs of hexadecimal letters are in every word: keep to texts with a long one
+        where = "WHERE regexp_matches(t, '[0-9a-f]{32}')" if kind == "hex" else f"WHERE regexp_matches(t, '{p}')"
+        parts.append(
+            f"""SELECT doc_id, {order} AS o, '{kind}' AS kind, unnest(range(1, len(m) + 1)) AS i, g, m, v, {least} AS least
+            FROM (SELECT doc_id, list_transform(regexp_split_to_array(t, '{p}'), lambda x: length(x)) AS g,
+                         list_transform(regexp_extract_all(t, '{p}'), lambda x: length(x)) AS m,
+                         list_transform(regexp_extract_all(t, '{p}', {1 if kind == "assign" else 0}), lambda x: length(x)) AS v
+                  FROM d {where})"""
+        )
+    return f"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        hits AS ({" UNION ALL ".join(parts)}),
+        found AS (
+            SELECT doc_id, o, kind, coalesce(list_sum(g[1:i]), 0) + coalesce(list_sum(m[1:i - 1]), 0) AS s, m[i] AS n
+            FROM hits WHERE v[i] >= least),
+        named AS (SELECT *, kind || ':' || s::BIGINT || ':' || (s + n)::BIGINT AS span FROM found)
+        SELECT d.doc_id, count(*) FILTER (o = 0) AS n_assign, count(*) FILTER (o = 1) AS n_access,
+               count(*) FILTER (o = 2) AS n_hex,
+               sha256(coalesce(string_agg(span, ',' ORDER BY s, o) FILTER (o < 3), '')) AS base_sha256,
+               coalesce(string_agg(span, ',' ORDER BY s, o), '') AS spans
+        FROM d LEFT JOIN named USING (doc_id) GROUP BY d.doc_id"""
+
+
+SQL = {"op10_secret_ledger": _secret_sql()}
