@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, counts, packing, secret_ledger, simhash, token_files
+from . import bpe, counts, packing, secret_ledger, simhash, token_files, topk, warc
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -41,6 +41,16 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.drop("text")
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
+def op8_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings").where(topk.usable("embedding"))
+    rows = rows.select("vec_id", topk.quantised("embedding").alias("vector"))
+    return topk.top_k(rows, F.col("vec_id") % 50 == 0)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"))
 
@@ -62,6 +72,8 @@ QUERIES = {
     "op3_packing": op3_packing,
     "op5_token_files": op5_token_files,
     "op6_token_counts": op6_token_counts,
+    "op7_warc": op7_warc,
+    "op8_pivot_topk": op8_pivot_topk,
     "op9_simhash": op9_simhash,
     "op10_secret_ledger": op10_secret_ledger,
 }
@@ -105,4 +117,25 @@ def _secret_sql() -> str:
         FROM d LEFT JOIN named USING (doc_id) GROUP BY d.doc_id"""
 
 
-SQL = {"op10_secret_ledger": _secret_sql()}
+WARC_SQL = """
+    WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS digest
+               FROM pages),
+    f AS (SELECT *, CASE WHEN n >= 100 THEN min(page_id) OVER (PARTITION BY digest) END AS first FROM p)
+    SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+           CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN first END AS refers_to,
+           true AS intact
+    FROM f"""
+
+TOPK_SQL = """
+    WITH v AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+        SELECT q.vec_id AS query_id, x.vec_id, list_inner_product(q.v, x.v)::BIGINT AS score
+        FROM v AS q JOIN v AS x ON q.vec_id <> x.vec_id WHERE q.vec_id % 50 = 0)
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
+    FROM s QUALIFY rank <= 5"""
+
+SQL = {"op7_warc": WARC_SQL, "op8_pivot_topk": TOPK_SQL, "op10_secret_ledger": _secret_sql()}
