@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, counts, packing, secret_ledger, simhash, token_files, topk, warc
+from . import bpe, counts, fingerprints, packing, secret_ledger, simhash, token_files, topk, warc
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -16,6 +16,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_and_next(read(spark, sf_dir, "documents"))
+
+
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", bpe.encode("text", WORD).alias("ids"))
     back = docs.withColumn("decoded", bpe.decode("ids", WORD))
@@ -68,6 +72,7 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_fingerprints": op1_fingerprints,
     "op2_bpe": op2_bpe,
     "op3_packing": op3_packing,
     "op5_token_files": op5_token_files,
