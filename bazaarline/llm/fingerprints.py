@@ -160,18 +160,20 @@ def edited_and_next(df: DataFrame, key: str = "doc_id", text: str = "text", how:
     rows, order = in_order(whole, key, text)
     n = F.char_length(text)
     quarter = F.floor(n / 4).cast("int")
-    head = F.substring(F.lead(text).over(order), F.lit(1), quarter)
-    edited = F.concat(F.substring(text, F.lit(1), n - quarter), F.coalesce(head, F.lit("")))
-    made = rows.select(key, text, "_h", "bucket", "guest", edited.alias("edited")).select(
-        key, "_h", "bucket", "guest",
+    after = rows.withColumn("_next", F.lead(text).over(order)).where("guest = 0")
+    head = F.substring("_next", F.lit(1), quarter)
+    edited = F.concat(F.substring(text, F.lit(1), n - quarter), head)
+    # the next text is chunked again: cheaper than a second shuffle for its fingerprint
+    made = after.select(key, text, "_next", edited.alias("edited")).select(
+        key,
         n.cast("long").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         fingerprint(text, how).alias("fingerprint"),
         fingerprint("edited", how).alias("edited_fingerprint"),
+        fingerprint("_next", how).alias("next_fingerprint"),
     )
-    after = made.withColumn("_next", F.lead("fingerprint").over(order)).where("guest = 0")
-    return after.select(
+    return made.select(
         key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
         containment("fingerprint", "edited_fingerprint").alias("near_edited"),
-        containment("fingerprint", "_next").alias("near_next"),
+        containment("fingerprint", "next_fingerprint").alias("near_next"),
     )
