@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, counts, fingerprints, packing, secret_ledger, simhash, token_files, topk, warc
+from . import bpe, counts, fingerprints, packing, quality, secret_ledger, simhash, token_files, topk, warc
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -36,6 +36,14 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, read(spark, sf_dir, "labels"))
+    held_out = F.coalesce(quality.fold() == 1, F.lit(False))
+    scored = docs.select("doc_id", held_out.alias("held_out"), quality.score(model, "text").alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(read(spark, sf_dir, "documents"), BYTE, BYTE_RANKS)
 
@@ -75,6 +83,7 @@ QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_bpe": op2_bpe,
     "op3_packing": op3_packing,
+    "op4_quality": op4_quality,
     "op5_token_files": op5_token_files,
     "op6_token_counts": op6_token_counts,
     "op7_warc": op7_warc,

@@ -173,6 +173,21 @@ def links(prints: DataFrame, most: int = 3) -> DataFrame:
 # --- groups ----------------------------------------------------------------------
 
 
+def groups(df: DataFrame, key: str = "doc_id", text: str = "text", most: int = 3) -> DataFrame:
+    """``id, text_hash, fp, component_id`` of every row; see ``near_duplicates``."""
+    whole = F.coalesce(F.col(text), F.lit(""))
+    rows = df.select(F.col(key).alias("id"), F.xxhash64(whole).alias("text_hash"), fingerprint(whole).alias("fp"))
+    prints = stage(rows, "simhash")
+    nodes = stage(prints.groupBy("fp").agg(F.min("id").alias("least")), "prints")
+    linked = components(stage(links(nodes, most), "links"), "a", "b")
+    members = stage(nodes.join(linked, nodes.fp == linked.node).select("fp", "root", "least"), "members")
+    roots = members.groupBy("root").agg(F.min("least").alias("component"))
+    moved = stage(members.join(roots, "root").select(F.col("fp").alias("moved"), "component"), "moved")
+    component = F.coalesce("component", "least").alias("component_id")
+    labels = nodes.join(moved, F.col("fp") == F.col("moved"), "left").select(F.col("fp").alias("print"), component)
+    return prints.join(stage(labels, "labels"), F.col("fp") == F.col("print")).drop("print")
+
+
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", most: int = 3) -> DataFrame:
     """``key, fingerprint, component_id`` of every row.
 
@@ -180,20 +195,18 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", most
     included; null keys are passed over, and it is null only where all are. Null and
     empty texts have fingerprint zero and link like any other.
     """
-    prints = stage(df.select(F.col(key).alias("id"), fingerprint(text).alias("fp")), "simhash")
-    nodes = stage(prints.groupBy("fp").agg(F.min("id").alias("least")), "prints")
-    groups = components(stage(links(nodes, most), "links"), "a", "b")  # node, root
-    linked = nodes.join(groups, nodes.fp == groups.node).select("fp", "root", "least")
-    roots = linked.groupBy("root").agg(F.min("least").alias("component"))
-    moved = stage(linked.join(roots, "root").select("fp", "component"), "moved")
-    labels = stage(
-        nodes.join(moved, "fp", "left").select(
-            F.col("fp").alias("print"), F.coalesce("component", "least").alias("component_id")
-        ),
-        "labels",
-    )
-    return prints.join(labels, F.col("fp") == F.col("print")).select(
-        F.col("id").alias(key),
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-        "component_id",
-    )
+    found = groups(df, key, text, most)
+    print_ = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return found.select(F.col("id").alias(key), print_, "component_id")
+
+
+def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", most: int = 3) -> DataFrame:
+    """``df`` with one document of each group: that of the smallest key.
+
+    Rows that repeat both the kept key and its text stay together, as do all rows of a group
+    without any key.
+    """
+    kept = groups(df, key, text, most).where(F.col("id").eqNullSafe(F.col("component_id")))
+    kept = stage(kept.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash")), "kept")
+    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    return df.join(kept, F.col(key).eqNullSafe(F.col("_id")) & (own == F.col("_hash")), "left_semi")
