@@ -49,7 +49,7 @@ def test_base_spans_equal_brute_force(spark, odd_docs):
     found = secret_ledger.findings(docs)
     got = sorted((r.doc_id is not None, r.doc_id or 0, r.spans) for r in found.select("doc_id", secret_ledger.listed("findings", base).alias("spans")).collect())
     assert got == sorted((r.doc_id is not None, r.doc_id or 0, slow_base(r.text)) for r in docs.collect())
-    more = found.where("doc_id = 7").select(secret_ledger.listed("findings", [r.kind for r in secret_ledger.MORE])).first()[0]
+    more = found.where("doc_id = 7 and size(findings) > 3").select(secret_ledger.listed("findings", [r.kind for r in secret_ledger.MORE])).first()[0]
     assert [s.split(":")[0] for s in more.split(",")] == ["pem", "github", "slack", "jwt"]
 
 
