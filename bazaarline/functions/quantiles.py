@@ -9,6 +9,8 @@ the rank, and only the values of that class are put in order.
 The sketch's rank error is at most 1 / ACCURACY of the group, so in a group of
 more than SMALL rows the bracket holds the wanted ranks and the result is exact:
 (MARGIN - 1 / ACCURACY) * SMALL is more than the two ranks that rounding can take.
+A bracket that missed a rank all the same raises an error. The keys and values are
+staged first, so what they are made from is read once.
 """
 
 from __future__ import annotations
@@ -41,9 +43,12 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "lef
 
 
 def group_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float]
+    df: DataFrame, keys: Sequence[str], value: str, probs: dict[str, float], staged: bool = False
 ) -> DataFrame:
-    """One row per group: the keys and a column per name in ``probs``."""
+    """One row per group: the keys and a column per name in ``probs``.
+
+    ``staged`` says that ``df`` is a stored table, cheap to read again.
+    """
     keys = list(keys)
     names, points = list(probs), [float(p) for p in probs.values()]
     rows = (
@@ -51,6 +56,8 @@ def group_quantiles(
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .dropna(subset=keys or None)
     )
+    if not staged:
+        rows = stage(rows, "values")
     bounds = [max(p - MARGIN, 0.0) for p in points] + [min(p + MARGIN, 1.0) for p in points]
     sketch = stage(
         rows.groupBy(*keys).agg(
@@ -119,4 +126,11 @@ def group_quantiles(
         part = F.max(F.when(F.col("_i") == i, F.col("_h") - F.floor("_h")))
         return low + (high - low) * part
 
-    return ranked.groupBy(*keys).agg(*[interpolated(i).alias(names[i]) for i in range(k)])
+    figures = ranked.groupBy(*keys).agg(*[interpolated(i).alias(names[i]) for i in range(k)])
+    found = attach(sketch.select(*keys, "_n"), figures, keys)
+
+    def checked(name: str) -> Column:
+        missed = F.raise_error(F.lit(f"the bracket of {name} missed its rank"))
+        return F.when((F.col("_n") > 0) & F.col(name).isNull(), missed).otherwise(F.col(name))
+
+    return found.select(*keys, *[checked(n).alias(n) for n in names])

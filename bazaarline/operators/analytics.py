@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from ..functions.calendar import is_ramadan
 from ..functions.quantiles import group_quantiles
 from ..functions.scalars import ratio, signed_percent
+from ..functions.staging import stage
 from .anomaly import severity
 
 
@@ -169,13 +170,15 @@ def price_boxplot(df: DataFrame) -> DataFrame:
 
 def descriptive_stats(df: DataFrame) -> DataFrame:
     """Mean, median, deviation, least and greatest price per product."""
+    df = stage(df.select("product", "price"), "prices")
     figures = df.groupBy("product").agg(
         F.avg("price").alias("mean"),
         F.stddev_samp("price").alias("std"),
         F.min("price").alias("min"),
         F.max("price").alias("max"),
     )
-    return figures.join(group_quantiles(df, ["product"], "price", {"median": 0.5}), "product").select(
+    medians = group_quantiles(df, ["product"], "price", {"median": 0.5}, staged=True)
+    return figures.join(medians, "product").select(
         "product", "mean", "median", "std", "min", "max"
     )
 
@@ -184,15 +187,16 @@ def median_by_product(df: DataFrame) -> DataFrame:
     return group_quantiles(df, ["product"], "price", {"median_price": 0.5}).orderBy("median_price", "product")
 
 
-def top_products(df: DataFrame, n: int = 4) -> DataFrame:
-    medians = group_quantiles(df, ["product"], "price", {"median_price": 0.5})
+def top_products(df: DataFrame, n: int = 4, staged: bool = False) -> DataFrame:
+    medians = group_quantiles(df, ["product"], "price", {"median_price": 0.5}, staged)
     return medians.orderBy(F.desc("median_price"), "product").limit(n)
 
 
 def monthly_seasonality(df: DataFrame, n: int = 4) -> DataFrame:
     """Mean price by calendar month of the n products with the highest median."""
-    chosen = df.join(top_products(df, n), "product", "left_semi")
-    return chosen.groupBy("product", F.month("date").alias("month")).agg(F.avg("price").alias("price"))
+    df = stage(df.select("product", F.month("date").alias("month"), "price"), "prices")
+    chosen = df.join(top_products(df, n, staged=True), "product", "left_semi")
+    return chosen.groupBy("product", "month").agg(F.avg("price").alias("price"))
 
 
 def rows_by_region(df: DataFrame) -> DataFrame:

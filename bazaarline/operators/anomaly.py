@@ -1,7 +1,7 @@
 """Anomaly scores per series and the alerts made from them.
 
 A fitted detector is a table with one row per (product, region): scaler arrays,
-isolation forest, boundary means. It is fitted by aggregation over all series at
+isolation forest, boundary rows. It is fitted by aggregation over all series at
 once, saved and loaded as Parquet, and joined to the rows it scores.
 """
 
@@ -15,14 +15,13 @@ from ..functions.scalars import ratio, snap
 from ..functions.staging import spread, stage
 from ..settings import Settings
 from ..sources.validate import require_columns
-from .boundary import add_similarity, fit_boundary
+from .boundary import add_similarity, fit_boundary, similarity
 from .features import GROUP, last_rows, over_time
-from .isolation import add_isolation_score, fit_forest
+from .isolation import add_isolation_score, fit_forest, isolation
 
 FEATURES = ["price", "diff", "diff_pct", "roll_mean", "roll_std", "z_score"]
 SCALED = [f"s_{f}" for f in FEATURES]
 MIN_ROWS = 10
-PART = 1000  # new observations of one series scored together
 
 # Lower ends of the severity grades and their labels.
 GRADES = (0.95, 0.85, 0.75)
@@ -150,8 +149,7 @@ def composite_score(df: DataFrame, threshold: Column | float = 0.7) -> DataFrame
 def raw_scores(df: DataFrame, detector: DataFrame, on: Sequence[str] = GROUP) -> DataFrame:
     """``_if`` and ``_svm``: isolation score and boundary similarity of featured rows.
 
-    Series without a detector keep their rows, with missing raw scores. The rows
-    must differ from each other, which one row per series and date does.
+    Series without a detector keep their rows, with missing raw scores.
     """
     on = list(on)
     scales = detector.select(*on, "means", "deviations")
@@ -174,22 +172,31 @@ def predict(
     finds its detector. One shuffle by ``on`` serves all windows and joins.
     """
     featured = detection_features(spread(df, *on), settings.window, keys, order)
-    raw = raw_scores(featured, detector, on)
-    threshold = F.lit(settings.alert_threshold)
-    if "threshold" in detector.columns:
-        threshold = detector.agg(F.max("threshold")).scalar()
-    # Fixed digits, so that rounding noise cannot stand in for a spread.
+    raw = with_fixed_digits(raw_scores(featured, detector, on))
     scores = raw.withColumns(
         {
-            "if_score": F.coalesce(normalise_score(snap(-F.col("_if"), 9), keys), F.lit(0.0)),
-            "svm_score": F.coalesce(normalise_score(snap(F.col("_svm"), 9), keys), F.lit(0.0)),
+            "if_score": F.coalesce(normalise_score(F.col("_odd_if"), keys), F.lit(0.0)),
+            "svm_score": F.coalesce(normalise_score(F.col("_odd_svm"), keys), F.lit(0.0)),
         }
     )
-    return composite_score(scores, threshold).select(
+    return composite_score(scores, threshold_of(detector, settings)).select(
         *df.columns, "if_score", "svm_score", "anomaly_score", "is_anomaly"
     )
 
 
+def with_fixed_digits(raw: DataFrame) -> DataFrame:
+    """Raw scores of which low values are odd; fixed digits, so that rounding noise
+    cannot stand in for a spread."""
+    return raw.withColumns({"_odd_if": snap(-F.col("_if"), 9), "_odd_svm": snap(F.col("_svm"), 9)})
+
+
+def threshold_of(detector: DataFrame, settings: Settings) -> Column:
+    """The threshold saved with the detector, else that of the settings."""
+    if "threshold" in detector.columns:
+        return detector.agg(F.max("threshold")).scalar()
+    return F.lit(settings.alert_threshold)
+
+
 def score_panel(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Fit on the table and score it; series under ten rows score 0."""
     return predict(df, fit_detector(df, settings), settings)
@@ -233,6 +240,71 @@ def generate_alerts(scored: DataFrame) -> DataFrame:
     )
 
 
+def history_context(scored: DataFrame, reach: int) -> DataFrame:
+    """What a new row needs to know about its place in a series, one row per place and month.
+
+    A place is after a history row, or before the first one. It has the ``reach``
+    prices on either side, the range of dates that fall on it (``since`` <= date <
+    ``until``) and the least and greatest raw scores of the rows further away, whose
+    scores a new row cannot change. A place is repeated for every month of its range,
+    which the calendar bounds, so that observations find it by an equi-join.
+    """
+    along = W.partitionBy(*GROUP).orderBy("date")
+    near = lambda first, last: F.collect_list("price").over(along.rowsBetween(first, last))
+    up_to, from_ = W.unboundedPreceding, W.unboundedFollowing
+
+    def ends(first: int | None, last: int) -> Column:
+        """Least and greatest raw scores outside of the affected rows."""
+        out = []
+        for name in ("_odd_if", "_odd_svm"):
+            for pick, both in ((F.min, F.least), (F.max, F.greatest)):
+                late = pick(name).over(along.rowsBetween(last, from_))
+                early = late if first is None else pick(name).over(along.rowsBetween(up_to, first))
+                out.append(both(early, late).alias(f"{pick.__name__}{name}"))
+        return F.struct(*out)
+
+    month = F.year("date") * 12 + F.month("date")
+    after = F.struct(
+        F.col("date").alias("since"), F.lead("date").over(along).alias("until"),
+        near(1 - reach, 0).alias("before"), near(1, reach).alias("after"), ends(0, reach + 1).alias("rest"),
+    )
+    first = F.struct(
+        F.lit(None).cast(scored.schema["date"].dataType).alias("since"), F.col("date").alias("until"),
+        F.slice(near(0, 0), 1, 0).alias("before"), near(0, reach - 1).alias("after"), ends(None, reach).alias("rest"),
+    )
+    rows = scored.select(
+        *GROUP, month.alias("_month"), F.lead(month).over(along).alias("_next"),
+        F.row_number().over(along).alias("_row"), after.alias("_after"), first.alias("_first"),
+    )
+    own = F.transform(
+        F.sequence("_month", F.coalesce("_next", "_month")), lambda m: F.struct(m.alias("month"), F.col("_after").alias("place"))
+    )
+    head = F.array(F.struct(F.col("_month").alias("month"), F.col("_first").alias("place")))
+    places = F.when(F.col("_row") == 1, F.concat(head, own)).otherwise(own)
+    return rows.select(*GROUP, F.explode(places).alias("_p")).select(*GROUP, "_p.month", "_p.place.*")
+
+
+def local_features(prices: Column, at: Column, window: int) -> Column:
+    """``FEATURES`` of one row of a price array, as ``detection_features`` has them."""
+    price, back = F.get(prices, at), F.get(prices, at - 1)
+    begin = F.greatest(at - window + 1, F.lit(0))
+    rows = F.slice(prices, begin + 1, at - begin + 1)
+    count, base = F.size(rows), F.get(rows, F.lit(0))
+    total = lambda array, value: F.aggregate(array, F.lit(0.0), lambda sum_, p: sum_ + value(p))
+    mean = base + total(rows, lambda p: p - base) / count
+    spread_ = total(rows, lambda p: (p - mean) * (p - mean))
+    deviation = F.when(count > 1, F.sqrt(spread_ / (count - 1))).otherwise(0.0)
+    diff = F.coalesce(price - back, F.lit(0.0))
+    return F.array(
+        price,
+        diff,
+        F.coalesce(ratio(diff, back) * 100, F.lit(0.0)),
+        mean,
+        deviation,
+        F.when(deviation > 0, (price - mean) / deviation).otherwise(0.0),
+    )
+
+
 def score_new_observations(
     history: DataFrame,
     new: DataFrame,
@@ -241,43 +313,64 @@ def score_new_observations(
 ) -> DataFrame:
     """Score each new price (``obs_id``, product, region, date, price) in its series.
 
-    Every observation is placed in its own copy of the history of its series, so
-    observations do not affect each other. A history is bounded by its calendar.
-    A series with many observations is cut into parts of about ``PART``, each with
-    a copy of the history and the detector, so no task gets more than one part.
-    ``found`` is false, and the figures missing, where there is no history.
+    Observations do not affect each other, and each gives one row, also where ids
+    repeat. The history is scored once. An observation changes only its own raw score
+    and those of the next ``window`` - 1 rows, so it is joined to its place in the
+    series, those rows alone are scored again, and the least and greatest of the others
+    come with the place. ``found`` is false, and the figures missing, without a history.
     """
-    counts = new.groupBy(*GROUP).agg(F.ceil(F.count(F.lit(1)) / PART).cast("int").alias("_parts"))
-    parts = stage(counts, "parts")
-    on = [*GROUP, "_part"]
-
-    def in_parts(df: DataFrame) -> DataFrame:
-        numbers = F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
-        return df.join(parts, GROUP).withColumn("_part", numbers).drop("_parts")
-
-    series = ["obs_id", *on]
-    columns = [*series, "date", "price", "_new"]
-    part = F.pmod(F.xxhash64("obs_id"), F.col("_parts")).cast("int")
-    own = (
-        new.join(parts, GROUP)
-        .withColumns({"_part": part, "_new": F.lit(True)})
-        .join(history.select(*GROUP).distinct(), GROUP, "left_semi")
-        .select(*columns)
+    reach = max(settings.window - 1, 1)
+    featured = detection_features(spread(history.select(*GROUP, "date", "price"), *GROUP), settings.window)
+    scored = stage(with_fixed_digits(raw_scores(featured, detector)), "history")
+    month = F.year("date") * 12 + F.month("date")
+    calendars = stage(
+        scored.groupBy(*GROUP).agg(F.min(month).alias("_from"), F.max(month).alias("_to")), "calendars"
+    )
+    places = stage(history_context(scored, reach), "places")
+    fitted = detector.select(
+        *GROUP, "means", "deviations", F.col("forest").alias("_forest"), F.col("psi").alias("_psi"), F.col("boundary").alias("_points")
+    )
+    clipped = F.least(F.greatest(month, F.col("_from")), F.col("_to"))
+    dated = new.select("obs_id", *GROUP, "price", "date").join(calendars, GROUP, "left").withColumn("month", clipped)
+    # An open range goes to the first or the last month, where clipping sends what is outside.
+    own, at = dated.alias("o"), places.alias("p")
+    same = [F.col(f"o.{k}") == F.col(f"p.{k}") for k in [*GROUP, "month"]]
+    since, until = F.col("p.since"), F.col("p.until")
+    day = F.col("o.date").cast(scored.schema["date"].dataType)
+    inside = (since.isNull() | (since <= day)) & (until.isNull() | (day < until))
+    placed = own.join(at, [*same, inside], "left").select("o.*", "p.before", "p.after", "p.rest").join(fitted, GROUP, "left")
+
+    prices = F.concat("before", F.array("price"), "after")
+    affected = F.sequence(F.size("before"), F.size("before") + F.size("after"))
+    scale = lambda f, i: (f - F.get("means", i)) / F.get("deviations", i)
+    rows = placed.withColumn("_prices", prices).withColumn(
+        "_x", F.transform(affected, lambda i: F.transform(local_features(F.col("_prices"), i, settings.window), scale))
     )
-    past = in_parts(history.select(*GROUP, "date", "price"))
-    copies = own.select(*series).join(past, on).withColumn("_new", F.lit(False))
-    extended = own.unionByName(copies.select(*columns))
-    scored = predict(extended, in_parts(detector), settings, series, ("date", "_new"), on).where("_new")
-    figures = scored.select("obs_id", "anomaly_score", "is_anomaly")
-    return new.join(figures, "obs_id", "left").select(
+    raw = rows.withColumns(
+        {
+            "_odd_if": F.transform("_x", lambda x: snap(-isolation(x, F.col("_forest"), F.col("_psi")), 9)),
+            "_odd_svm": F.transform("_x", lambda x: snap(similarity(x, F.col("_points"), len(FEATURES)), 9)),
+        }
+    )
+
+    def normalised(name: str) -> Column:
+        low = F.least(F.array_min(name), F.col(f"rest.min{name}"))
+        high = F.greatest(F.array_max(name), F.col(f"rest.max{name}"))
+        score = F.when(high == low, 0.0).otherwise((high - F.get(name, F.lit(0))) / (high - low))
+        return F.when(F.col("before").isNotNull(), F.coalesce(score, F.lit(0.0)))
+
+    scores = raw.withColumns({"if_score": normalised("_odd_if"), "svm_score": normalised("_odd_svm")})
+    graded = composite_score(scores, threshold_of(detector, settings))
+    found = F.col("anomaly_score").isNotNull()
+    return graded.select(
         "obs_id",
         *GROUP,
         "price",
         "date",
         F.round("anomaly_score", 4).alias("anomaly_score"),
         "is_anomaly",
-        F.when(F.col("anomaly_score").isNotNull(), severity(F.col("anomaly_score"))).alias("severity"),
-        F.col("anomaly_score").isNotNull().alias("found"),
+        F.when(found, severity(F.col("anomaly_score"))).alias("severity"),
+        found.alias("found"),
     )
 
 

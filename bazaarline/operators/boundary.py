@@ -1,73 +1,52 @@
-"""Mean RBF similarity of a row to its group, in time linear in the rows.
+"""Mean RBF similarity of a row to its group.
 
 The similarity is the decision function of a one-class SVM with nu = 1 (Schölkopf
-et al. 2001). Comparing every row with every other is quadratic in a group, so
-the kernel is taken through random Fourier features (Rahimi & Recht 2007):
-exp(-gamma |x - y|²) is the mean of cos(w·(x - y)) over normal w. A group is then
-described by its mean cosine and sine per frequency, plain averages that combine
-before the shuffle, and a new row needs only those means.
+et al. 2001): the mean of exp(-gamma |x - y|²) over the rows y of the group. It is
+meant for series of a panel, which are as long as their calendar. A fitted group
+is one row with its distinct feature rows and their counts, and scoring folds
+over them in one column expression. Longer groups raise an error: nothing is sampled.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import sqrt
-from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-FREQUENCIES = 128
+LONGEST = 36_525  # distinct rows of a series: a hundred years of days
 
 
-def frequencies(gamma: float, dims: int, count: int = FREQUENCIES) -> list[list[float]]:
-    """Normal quantiles of a Halton sequence: evenly spread, the same in every run."""
-    bases = [p for p in range(2, 50) if all(p % q for q in range(2, p))][:dims]
-    scale = sqrt(2 * gamma)
-
-    def halton(i: int, base: int) -> float:
-        value, part = 0.0, 1.0
-        while i:
-            i, digit = divmod(i, base)
-            part /= base
-            value += digit * part
-        return value
-
-    spread = NormalDist()
-    return [
-        [round(scale * spread.inv_cdf(halton(i, b)), 9) for b in bases] for i in range(1, count + 1)
-    ]
+def fit_boundary(
+    df: DataFrame, keys: Sequence[str], features: Sequence[str], longest: int = LONGEST
+) -> DataFrame:
+    """One row per group: keys and ``boundary``, an array of (x, n)."""
+    counted = df.groupBy(*keys, *features).agg(F.count(F.lit(1)).alias("_n"))
+    point = F.struct(F.array(*features).alias("x"), F.col("_n").alias("n"))
+    fitted = counted.groupBy(*keys).agg(F.sort_array(F.collect_list(point)).alias("boundary"))
+    message = F.lit(f"a series has more than {longest} distinct rows: aggregate it to periods first")
+    checked = F.when(F.size("boundary") > longest, F.raise_error(message)).otherwise(F.col("boundary"))
+    return fitted.withColumn("boundary", checked)
 
 
-def _phase(features: Sequence[str], wave: Column) -> Column:
-    return reduce(
-        lambda total, term: total + term,
-        [F.col(f) * F.get(wave, F.lit(i)) for i, f in enumerate(features)],
-    )
+def similarity(x: Column, boundary: Column, dims: int, gamma: float | None = None) -> Column:
+    """Mean kernel of a feature array with the rows of a fitted group."""
+    gamma = 1.0 / dims if gamma is None else gamma
 
+    def term(total: Column, point: Column) -> Column:
+        steps = [F.get(x, F.lit(i)) - F.get(point["x"], F.lit(i)) for i in range(dims)]
+        apart = reduce(lambda a, b: a + b, [d * d for d in steps])
+        return total + point["n"] * F.exp(-gamma * apart)
 
-def fit_boundary(
-    df: DataFrame, keys: Sequence[str], features: Sequence[str], gamma: float | None = None
-) -> DataFrame:
-    """One row per group: keys and ``boundary``, an array of (w, cosine mean, sine mean)."""
-    gamma = 1.0 / len(features) if gamma is None else gamma
-    table = F.lit(frequencies(gamma, len(features)))
-    spread = df.select(*keys, *features, F.posexplode(table).alias("_j", "_wave"))
-    phase = _phase(features, F.col("_wave"))
-    means = spread.groupBy(*keys, "_j").agg(
-        F.avg(F.cos(phase)).alias("c"), F.avg(F.sin(phase)).alias("s")
-    )
-    entry = F.struct("_j", F.get(table, F.col("_j")).alias("w"), "c", "s")
-    return means.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("boundary"))
+    size = F.aggregate(boundary, F.lit(0).cast("bigint"), lambda total, point: total + point["n"])
+    return F.aggregate(boundary, F.lit(0.0), term) / size
 
 
 def add_similarity(
-    df: DataFrame, boundary: DataFrame, keys: Sequence[str], features: Sequence[str], out: str
+    df: DataFrame, boundary: DataFrame, keys: Sequence[str], features: Sequence[str], out: str, gamma: float | None = None
 ) -> DataFrame:
-    """Mean similarity of distinct rows to their group; missing for an unknown group."""
-    waves = df.join(boundary.select(*keys, "boundary"), list(keys), "left").select(
-        *df.columns, F.explode_outer("boundary").alias("_e")
-    )
-    phase = _phase(features, F.col("_e.w"))
-    mean = F.avg(F.col("_e.c") * F.cos(phase) + F.col("_e.s") * F.sin(phase))
-    return waves.groupBy(*df.columns).agg(mean.alias(out))
+    """Adds the similarity of every row to its group; missing for an unknown group."""
+    points = boundary.select(*keys, F.col("boundary").alias("_points"))
+    joined = df.join(points, list(keys), "left").withColumn("_x", F.array(*features))
+    mean = similarity(F.col("_x"), F.col("_points"), len(features), gamma)
+    return joined.select(*df.columns, mean.alias(out))

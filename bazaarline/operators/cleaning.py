@@ -7,17 +7,18 @@ quantiles are exact but bracketed, and interpolation works on date chunks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import warnings
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window as W, functions as F
 
 from ..functions.quantiles import attach, group_quantiles
 from ..functions.scalars import known, present
 from ..functions.staging import spread, stage
 from ..settings import Settings
 from ..sources.validate import require_columns, validate_table
-from .isolation import add_isolation_score, fit_forest
+from .isolation import SAMPLE, add_isolation_score, fit_forest
 
 GROUP = ["product", "region"]
 FINE_GROUP = ["product", "region", "market"]
@@ -72,11 +73,12 @@ def _fill(df: DataFrame, figures: DataFrame, keys: Sequence[str]) -> DataFrame:
     return filled.withColumn("price", price).drop("_fill").where("price is not null")
 
 
-def impute_interpolate(df: DataFrame) -> DataFrame:
+def impute_interpolate(df: DataFrame, tie: Column | None = None) -> DataFrame:
     """Linear by row position, then the last known price forward, then the first back.
 
     Rows are ordered by date within (product, region, market); rows of one date
-    are ordered by a hash of their other columns. A chunk is one slot of a day:
+    are ordered by ``tie``, a whole number (first its remainder by ``SLOTS``), by
+    default a hash of their other columns. A chunk is one slot of a day:
     a share of the hashes at midnight, a stretch of time after it. Positions and
     known prices at chunk borders come from a table with a row per chunk, which
     the calendar bounds, so a group's rows are never brought together. Copies of
@@ -85,7 +87,8 @@ def impute_interpolate(df: DataFrame) -> DataFrame:
     keys = present(df, FINE_GROUP)
     rest = [c for c in df.columns if c not in (*keys, "date", "price")]
     source = df.withColumn("price", known(df, "price")).dropna(subset=keys or None)
-    tie = F.xxhash64(*rest, "price") if rest else F.xxhash64("price")
+    if tie is None:
+        tie = F.xxhash64(*rest, "price") if rest else F.xxhash64("price")
     chunk = [*keys, "_day", "_slot"]
     inside = W.partitionBy(*chunk).orderBy("date", "_tie", *rest, "price")
     second = F.hour("date") * 3600 + F.minute("date") * 60 + F.second("date")
@@ -156,27 +159,45 @@ def _ungrouped(keys: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys], F.lit(False))
 
 
+# A filter made from the prices of all rows, for any table with the same groups.
+Rule = Callable[[DataFrame], DataFrame]
+
+
+def rule_iqr(prices: DataFrame, k: float = 3.0, staged: bool = False) -> Rule:
+    keys = present(prices, GROUP)
+    probs = {"_q1": 0.25, "_q3": 0.75}
+    quartiles = stage(group_quantiles(prices, keys, "price", probs, staged), "quartiles")
+    reach = k * (F.col("_q3") - F.col("_q1"))
+
+    def keep(df: DataFrame) -> DataFrame:
+        inside = known(df, "price").between(F.col("_q1") - reach, F.col("_q3") + reach)
+        return attach(df, quartiles, keys).where(inside | _ungrouped(keys)).select(*df.columns)
+
+    return keep
+
+
 def outlier_iqr(df: DataFrame, k: float = 3.0) -> DataFrame:
     """Keeps q1 - k·iqr <= price <= q3 + k·iqr of the row's group."""
-    keys = present(df, GROUP)
-    quartiles = stage(group_quantiles(df, keys, "price", {"_q1": 0.25, "_q3": 0.75}), "quartiles")
-    reach = k * (F.col("_q3") - F.col("_q1"))
-    inside = known(df, "price").between(F.col("_q1") - reach, F.col("_q3") + reach)
-    return attach(df, quartiles, keys).where(inside | _ungrouped(keys)).select(*df.columns)
+    return rule_iqr(df, k)(df)
+
+
+def rule_zscore(prices: DataFrame, threshold: float = 3.0) -> Rule:
+    keys = present(prices, GROUP)
+    price = known(prices, "price")
+    figures = prices.groupBy(*keys).agg(F.avg(price).alias("_mean"), F.stddev_samp(price).alias("_sd"))
+    moments = stage(figures, "moments")
+
+    def keep(df: DataFrame) -> DataFrame:
+        off = F.abs((known(df, "price") - F.col("_mean")) / F.col("_sd"))
+        near = F.when(F.col("_sd") == 0, True).otherwise(off <= threshold)
+        return attach(df, moments, keys).where(near | _ungrouped(keys)).select(*df.columns)
+
+    return keep
 
 
 def outlier_zscore(df: DataFrame, threshold: float = 3.0) -> DataFrame:
     """Keeps |price - mean| <= threshold·std; a one-row group has no std and goes."""
-    keys = present(df, GROUP)
-    price = known(df, "price")
-    moments = stage(
-        df.groupBy(*keys).agg(F.avg(price).alias("_mean"), F.stddev_samp(price).alias("_sd")),
-        "moments",
-    )
-    near = F.when(F.col("_sd") == 0, True).otherwise(
-        F.abs((price - F.col("_mean")) / F.col("_sd")) <= threshold
-    )
-    return attach(df, moments, keys).where(near | _ungrouped(keys)).select(*df.columns)
+    return rule_zscore(df, threshold)(df)
 
 
 def outlier_isolation(
@@ -185,8 +206,21 @@ def outlier_isolation(
     trees: int = 100,
     seed: int = 42,
     min_rows: int = 10,
+    sample: int = SAMPLE,
 ) -> DataFrame:
-    """Drops the rows that isolation trees on the price isolate soonest.
+    """Drops the rows that isolation trees on the price isolate soonest."""
+    return rule_isolation(df, contamination, trees, seed, min_rows, sample)(df)
+
+
+def rule_isolation(
+    df: DataFrame,
+    contamination: float = 0.05,
+    trees: int = 100,
+    seed: int = 42,
+    min_rows: int = 10,
+    sample: int = SAMPLE,
+) -> Rule:
+    """By group: the prices whose score is over the quantile 1 - contamination go.
 
     A row's score depends on its price alone, so trees see and score each
     distinct price of a group once; the score's cut-off quantile counts rows.
@@ -201,9 +235,9 @@ def outlier_isolation(
     # Equal to a hundredth of a cent means one sampling key; the tree still sees both.
     label = F.floor(F.col("price") * 10000).cast("bigint").cast("string")
     forest = stage(
-        fit_forest(values, group, ["price"], label, trees=trees, seed=seed, weight="_rows"), "forest"
+        fit_forest(values, group, ["price"], label, trees=trees, seed=seed, weight="_rows", sample=sample), "forest"
     )
-    scored = stage(add_isolation_score(values, forest, group, ["price"], "_score"), "price-scores")
+    scored = stage(add_isolation_score(values, forest, group, ["price"], "_score", sample), "price-scores")
     cut = weighted_quantile(scored, group, "_score", "_rows", 1 - contamination)
     sizes = scored.groupBy(*group).agg(F.sum("_rows").alias("_n"))
     limits = stage(cut.join(sizes, group), "cuts")
@@ -213,7 +247,7 @@ def outlier_isolation(
         .select(*keys, "price")
     )
     bad = stage(bad, "isolated")
-    return df.join(bad, [*keys, "price"], "left_anti").select(*df.columns)
+    return lambda rows: rows.join(bad, [*keys, "price"], "left_anti").select(*rows.columns)
 
 
 def weighted_quantile(
@@ -262,40 +296,67 @@ def weighted_quantile(
 
 
 def remove_outliers(df: DataFrame, method: str = "iqr", threshold: float = 3.0) -> DataFrame:
-    """By method name; an unknown name leaves the rows as they are."""
+    """By method name; an unknown name leaves the rows as they are, with a warning."""
+    return outlier_rule(df, method, threshold)(df)
+
+
+def outlier_rule(prices: DataFrame, method: str, threshold: float, staged: bool = False) -> Rule:
     if method == "iqr":
-        return outlier_iqr(df, threshold)
+        return rule_iqr(prices, threshold, staged)
     if method == "zscore":
-        return outlier_zscore(df, threshold)
+        return rule_zscore(prices, threshold)
     if method == "isolation_forest":
-        return outlier_isolation(df)
-    return df
+        return rule_isolation(prices)
+    warnings.warn(f"unknown outlier method {method!r}: no rows are removed", stacklevel=3)
+    return lambda df: df
 
 
-def filter_sparse_groups(df: DataFrame, min_rows: int = 30) -> DataFrame:
-    """Keeps the rows of groups with at least ``min_rows`` rows."""
-    keys = present(df, GROUP)
+def rule_sparse(prices: DataFrame, min_rows: int | Column = 30) -> Rule:
+    keys = present(prices, GROUP)
     if not keys:
-        return df
-    full = df.dropna(subset=keys).groupBy(*keys).count().where(F.col("count") >= min_rows)
-    return attach(df, stage(full.select(*keys), "groups"), keys, "left_semi")
+        return lambda df: df
+    full = prices.dropna(subset=keys).groupBy(*keys).count().where(F.col("count") >= min_rows)
+    groups = stage(full.select(*keys), "groups")
+    return lambda df: attach(df, groups, keys, "left_semi")
+
+
+def filter_sparse_groups(df: DataFrame, min_rows: int | Column = 30) -> DataFrame:
+    """Keeps the rows of groups with at least ``min_rows`` rows."""
+    return rule_sparse(df, min_rows)(df)
 
 
-def clean(df: DataFrame, settings: Settings = Settings(), as_of: Column | None = None) -> DataFrame:
+def clean(
+    df: DataFrame,
+    settings: Settings = Settings(),
+    as_of: Column | None = None,
+    steps: dict[str, Observation] | None = None,
+) -> DataFrame:
     """All cleaning steps in order.
 
     Rows with a missing key end up dropped by the last step in any case, so they
-    go first. The de-duplicated rows are staged: the steps after it read them
-    more than once.
+    go first. Groups and prices alone are staged; the outlier limits and group sizes come
+    from them, and whole rows are never copied. ``steps`` is filled with an observation of
+    the row count ``n`` after each step, counted along with the work and ready when
+    the result has been written.
     """
     validate_table(df, ["date", "price"])
     keys = present(df, GROUP)
+
+    def seen(rows: DataFrame, step: str) -> DataFrame:
+        if steps is None:
+            return rows
+        steps[step] = Observation(step)
+        return rows.observe(steps[step], F.count(F.lit(1)).alias("n"))
+
     typed = standardise_types(df, as_of, settings.keep_missing).dropna(subset=keys or None)
-    rows = stage(drop_exact_duplicates(typed), "rows")
+    rows = drop_exact_duplicates(seen(typed, "types"))
     if settings.keep_missing:
-        rows = handle_missing(rows, settings.missing_strategy)
-    rows = remove_outliers(rows, settings.outlier_method, settings.outlier_threshold)
-    return filter_sparse_groups(rows, settings.min_data_points)
+        rows = handle_missing(seen(rows, "duplicates"), settings.missing_strategy)
+    prices = stage(rows.select(*keys, "price"), "prices")
+    inliers = outlier_rule(prices, settings.outlier_method, settings.outlier_threshold, staged=True)
+    full = rule_sparse(inliers(prices), settings.min_data_points)
+    rows = seen(rows, "missing" if settings.keep_missing else "duplicates")
+    return seen(full(seen(inliers(rows), "outliers")), "sparse groups")
 
 
 def period_start(day: Column, freq: str) -> Column:

@@ -7,6 +7,7 @@ table, and the horizon is an ``explode`` of a short sequence.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -15,10 +16,17 @@ from ..functions.scalars import ratio
 from .features import GROUP, over_time
 
 MIN_ROWS = 24
-# Normal quantile of each interval width.
+# Rounded normal quantiles of the two usual interval widths.
 Z = {0.95: 1.96, 0.90: 1.64}
 
 
+def quantile_of(interval: float) -> float:
+    """Deviations on either side that hold this share of a normal distribution."""
+    if not 0 < interval < 1:
+        raise ValueError("an interval is a share between 0 and 1")
+    return Z.get(interval) or NormalDist().inv_cdf((1 + interval) / 2)
+
+
 def month_index(day: Column) -> Column:
     """Months since year 0, so that gaps keep their length."""
     return F.year(day) * 12 + F.month(day)
@@ -97,7 +105,7 @@ def predict_seasonal_trend(
     if events:
         yhat = yhat * F.when(is_ramadan(F.col("ds")) == 1, F.col("ramadan_effect")).otherwise(1.0)
         yhat = yhat * F.when(is_holiday(F.col("ds")) == 1, F.col("holiday_effect")).otherwise(1.0)
-    reach = Z[interval] * F.coalesce(F.col("sigma"), F.lit(0.0))
+    reach = quantile_of(interval) * F.coalesce(F.col("sigma"), F.lit(0.0))
     return future.withColumn("yhat", yhat).select(
         *GROUP, "step", "ds", "yhat",
         (F.col("yhat") - reach).alias("yhat_lower"),
@@ -202,7 +210,7 @@ def forecast_quadratic(
     d2 = c["n"] * (c["s2"] * c["t2"] - c["t1"] * c["s3"]) - c["t0"] * c["s2"] ** 2
     solved = sums.withColumns({"b0": ratio(d0, det), "b1": ratio(d1, det), "b2": ratio(d2, det)})
     at = F.col("x_last") + F.col("step")
-    reach = Z[interval] * F.col("sigma")
+    reach = quantile_of(interval) * F.col("sigma")
     future = add_future(solved, F.lit(horizon)).withColumn(
         "_y", F.col("b0") + F.col("b1") * at + F.col("b2") * at * at
     )

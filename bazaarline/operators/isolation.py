@@ -1,14 +1,16 @@
 """Isolation trees (Liu, Ting & Zhou 2008) fitted for every group at once.
 
-A tree sees about ``SAMPLE`` rows of its group. The sample is drawn before any
-shuffle, so a group brings at most trees x SAMPLE rows to one task however large
-it is; its trees then grow there level by level in numpy. Cuts come from md5
+A tree sees about ``sample`` rows of its group, as published. The sample is drawn
+before any shuffle, so a group brings at most trees x sample rows to one task
+however large it is; its trees then grow there level by level in numpy. Cuts come from md5
 hashes, so a fit is the same on any partitioning.
 
 The fitted table has one row per group. Its ``forest`` holds the nodes of all
 trees in flat arrays: the feature and cut of a node, the place of its left child
 (the right one follows; 0 marks a leaf) and a leaf's depth; ``roots`` are the
-places of the tree tops. Scoring a row walks these arrays in column expressions.
+places of the tree tops. Scoring a row walks these arrays in one column expression:
+rows are neither opened nor grouped again, so equal rows stay apart and a join of
+rows with forests is free to split a large group.
 """
 
 from __future__ import annotations
@@ -23,8 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.scalars import hash_unit
 from ..functions.staging import spread, stage
 
-SAMPLE = 256
-LEVELS = 8  # ceil(log2(SAMPLE))
+SAMPLE = 256  # rows per tree, the published default
 EULER = 0.5772156649
 FOREST = (
     "roots array<int>, feature array<int>, cut array<double>, left array<int>, "
@@ -40,19 +41,19 @@ def path_bonus(n: Column) -> Column:
 
 
 def _draw(
-    df: DataFrame, keys: Sequence[str], label: Column, trees: int, seed: int, sizes: str | None
+    df: DataFrame, keys: Sequence[str], label: Column, trees: int, seed: int, sizes: str | None, sample: int
 ) -> DataFrame:
     """The sampled rows, each with the array of trees that see it.
 
     A row has one hash in [0, 1); tree t takes the hashes in a stretch of length
-    SAMPLE / n that starts at t / trees, wrapping around.
+    sample / n that starts at t / trees, wrapping around.
     """
     if sizes is None:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         sized = df.join(stage(counts, "sizes"), list(keys))
     else:
         sized = df.withColumn("_n", F.col(sizes))
-    share = F.lit(SAMPLE) / F.col("_n")
+    share = F.lit(sample) / F.col("_n")
     seen_by = lambda t: (F.col("_share") >= 1.0) | (
         F.pmod(F.col("_u") + t / F.lit(float(trees)), F.lit(1.0)) < F.col("_share")
     )
@@ -77,7 +78,12 @@ def _leaf_bonus(n: np.ndarray) -> np.ndarray:
     return np.where(n > 2, search, np.where(n == 2, 1.0, 0.0))
 
 
-def _grow(keys: Sequence[str], features: Sequence[str], seed: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def levels_of(sample: int) -> int:
+    """Depth at which a tree of ``sample`` rows stops."""
+    return max(sample - 1, 1).bit_length()
+
+
+def _grow(keys: Sequence[str], features: Sequence[str], seed: int, levels: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
     def grow(group: pd.DataFrame) -> pd.DataFrame:
         name = [group[k].iloc[0] for k in keys]
         x, weight = group[list(features)].to_numpy(float), group["_w"].to_numpy(float)
@@ -85,7 +91,7 @@ def _grow(keys: Sequence[str], features: Sequence[str], seed: int) -> Callable[[
         tree = np.concatenate(group["_trees"].to_numpy()).astype(np.int64)
         node = np.ones(len(row), np.int64)
         text, made, limit, psi = "|".join(map(str, name)), [], None, None
-        for level in range(LEVELS + 1):
+        for level in range(levels + 1):
             order = np.lexsort((node, tree))
             row, tree, node = row[order], tree[order], node[order]
             new = np.r_[True, (tree[1:] != tree[:-1]) | (node[1:] != node[:-1])]
@@ -97,7 +103,7 @@ def _grow(keys: Sequence[str], features: Sequence[str], seed: int) -> Callable[[
             if level == 0:
                 count = np.diff(np.r_[start, len(row)])
                 limit = np.zeros(t.max() + 1, int)
-                limit[t] = [min(int(max(c, 2) - 1).bit_length(), LEVELS) for c in count]
+                limit[t] = [min(int(max(c, 2) - 1).bit_length(), levels) for c in count]
                 psi = size.mean()
             wide = high > low
             inner = (level < limit[t]) & wide.any(axis=1)
@@ -142,6 +148,7 @@ def fit_forest(
     seed: int = 42,
     weight: str | None = None,
     sizes: str | None = None,
+    sample: int = SAMPLE,
 ) -> DataFrame:
     """One row per group: keys, ``forest`` and ``psi`` (mean rows seen by a tree).
 
@@ -150,34 +157,36 @@ def fit_forest(
     """
     keys, features = list(keys), list(features)
     weighted = df.withColumn("_w", F.col(weight).cast("double") if weight else F.lit(1.0))
-    sample = _draw(weighted, keys, label, trees, seed, sizes).select(*keys, *features, "_w", "_trees")
+    drawn = _draw(weighted, keys, label, trees, seed, sizes, sample).select(*keys, *features, "_w", "_trees")
     types = ", ".join(f"{k} {dict(df.dtypes)[k]}" for k in keys)
-    grow = _grow(keys, features, seed)
-    grown = spread(sample, *keys).groupBy(*keys).applyInPandas(grow, f"{types}, {FOREST}")
+    grow = _grow(keys, features, seed, levels_of(sample))
+    grown = spread(drawn, *keys).groupBy(*keys).applyInPandas(grow, f"{types}, {FOREST}")
     return grown.select(*keys, F.struct("roots", "feature", "cut", "left", "value").alias("forest"), "psi")
 
 
-def add_isolation_score(
-    df: DataFrame, forest: DataFrame, keys: Sequence[str], features: Sequence[str], out: str
-) -> DataFrame:
-    """2^(-depth / c(psi)) of distinct rows: near 1 for those that are isolated early.
+def isolation(x: Column, forest: Column, psi: Column, sample: int = SAMPLE) -> Column:
+    """2^(-depth / c(psi)) of a feature array: near 1 if it is isolated early.
 
-    Rows of a group without a forest get no score. A row is opened into its walks
-    down all trees and closed again by an average within the same stage; a level
-    is one projection, so the walk stays in generated code.
+    All trees go down one level per ``transform``; a leaf stays where it is.
     """
-    keys = list(keys)
-    nodes = forest.select(*keys, "forest.*", "psi")
-    # The features as one array, made below the join: short generated methods are
-    # compiled, and those over 8000 bytes are not.
-    walk = (
-        df.withColumn("_x", F.array(*features))
-        .join(nodes, keys, "left")
-        .select(*df.columns, "_x", "feature", "cut", "left", "value", "psi", F.explode_outer("roots").alias("_at"))
-    )
-    node = lambda array: F.get(array, F.col("_at") - 1)
-    for _ in range(LEVELS):
-        right = (F.get("_x", node("feature")) >= node("cut")).cast("int")
-        walk = walk.withColumn("_at", F.coalesce(F.nullif(node("left"), F.lit(0)) + right, F.col("_at")))
-    score = F.pow(F.lit(2.0), -F.avg(node("value")) / path_bonus(F.max("psi")))
-    return walk.groupBy(*df.columns).agg(score.alias(out))
+
+    def below(at: Column) -> Column:
+        node = lambda name: F.get(forest[name], at - 1)
+        right = (F.get(x, node("feature")) >= node("cut")).cast("int")
+        return F.coalesce(F.nullif(node("left"), F.lit(0)) + right, at)
+
+    at = forest["roots"]
+    for _ in range(levels_of(sample)):
+        at = F.transform(at, below)
+    depth = F.aggregate(at, F.lit(0.0), lambda total, leaf: total + F.get(forest["value"], leaf - 1))
+    return F.pow(F.lit(2.0), -(depth / F.size(forest["roots"])) / path_bonus(psi))
+
+
+def add_isolation_score(
+    df: DataFrame, forest: DataFrame, keys: Sequence[str], features: Sequence[str], out: str, sample: int = SAMPLE
+) -> DataFrame:
+    """Adds the score of every row; rows of a group without a forest get none."""
+    nodes = forest.select(*keys, F.col("forest").alias("_forest"), F.col("psi").alias("_psi"))
+    joined = df.join(nodes, list(keys), "left").withColumn("_x", F.array(*features))
+    score = isolation(F.col("_x"), F.col("_forest"), F.col("_psi"), sample)
+    return joined.select(*df.columns, score.alias(out))

@@ -2,9 +2,27 @@
 
 from __future__ import annotations
 
-from ..functions.calendar import BOARD_RAMADAN, HOLIDAYS, RAMADAN, SEASONS, SEASONS_FR
-from ..operators.anomaly import SEVERITIES, SEVERITIES_FR
-from ..operators.boundary import frequencies
+# Fixed values, written out so that the twins share nothing with the operators.
+RAMADAN = {
+    2020: ("2020-04-23", "2020-05-23"), 2021: ("2021-04-12", "2021-05-12"),
+    2022: ("2022-04-01", "2022-05-01"), 2023: ("2023-03-22", "2023-04-21"),
+    2024: ("2024-03-10", "2024-04-09"), 2025: ("2025-02-28", "2025-03-30"),
+    2026: ("2026-02-17", "2026-03-19"), 2027: ("2027-02-06", "2027-03-08"),
+    2028: ("2028-01-26", "2028-02-24"), 2029: ("2029-01-14", "2029-02-13"),
+    2030: ("2030-01-03", "2030-02-02"),
+}
+BOARD_RAMADAN = {
+    2015: ("2015-06-17", "2015-07-16"), 2016: ("2016-06-05", "2016-07-04"),
+    2017: ("2017-05-26", "2017-06-24"), 2018: ("2018-05-15", "2018-06-13"),
+    2019: ("2019-05-05", "2019-06-03"), 2020: ("2020-04-23", "2020-05-22"),
+    2021: ("2021-04-12", "2021-05-11"), 2022: ("2022-04-01", "2022-04-30"),
+    2023: ("2023-03-22", "2023-04-20"), 2024: ("2024-03-10", "2024-04-08"),
+}
+HOLIDAYS = [(1, 1), (5, 1), (7, 5), (7, 19), (11, 1)]
+SEASONS = ("Winter", "Spring", "Summer", "Autumn")
+SEASONS_FR = ("Hiver", "Printemps", "Été", "Automne")
+SEVERITIES = ("CRITICAL", "HIGH", "MEDIUM", "LOW")
+SEVERITIES_FR = ("🔴 CRITIQUE", "🟠 ÉLEVÉE", "🟡 MOYENNE", "🟢 FAIBLE")
 
 OBS = """obs AS (
   SELECT l_orderkey AS order_key, l_shipdate AS date, p_brand AS product, r_name AS region,
@@ -234,20 +252,14 @@ def forest_sql(source: str, row: str, d: int, trees: int, fit: str = "true", nam
     return ",\n".join(steps)
 
 
-WAVES = "waves AS (SELECT * FROM (VALUES {}) AS t(j, {}))".format(
-    ", ".join(f"({j}, {', '.join(f'{x!r}::DOUBLE' for x in w)})" for j, w in enumerate(frequencies(1 / 6, 6))),
-    ", ".join(f"w{i}" for i in range(6)),
-)
-PHASE = " + ".join(f"x{i} * w{i}" for i in range(6))
-BOUNDARY_FIT = f"""{WAVES},
-waved AS MATERIALIZED (
-  SELECT product, region, j, avg(cos({PHASE})) AS c, avg(sin({PHASE})) AS s FROM scaled, waves GROUP BY 1, 2, 3)"""
-
-
 def boundary_sql(source: str, row: str) -> str:
+    """Mean kernel of each row with all rows of its series, pair by pair."""
+    apart = " + ".join(f"(x{i} - y{i}) * (x{i} - y{i})" for i in range(6))
+    xs, ys = ", ".join(f"x{i}" for i in range(6)), ", ".join(f"x{i} AS y{i}" for i in range(6))
     return f"""svm_score AS MATERIALIZED (
-  SELECT {row}, avg(c * cos({PHASE}) + s * sin({PHASE})) AS similarity
-  FROM {source} JOIN waved USING (product, region) JOIN waves USING (j) GROUP BY {row})"""
+  SELECT {row}, avg(exp(-({apart}) / 6)) AS similarity
+  FROM (SELECT {row}, {xs} FROM {source}) a JOIN (SELECT product, region, {ys} FROM scaled) b USING (product, region)
+  GROUP BY {row})"""
 
 
 def minmax(x: str, part: str = G) -> str:
@@ -270,8 +282,8 @@ def scored_sql(threshold: float = 0.7, rows: str = "known") -> str:
     return ",\n".join(
         [TRAINING]
         + ([f"changes AS (SELECT *, ({'price'} / nullif(lag(price) OVER ({O}), 0) - 1) * 100 AS pct_change_1m FROM known)"] if rows == "changes" else [])
-        + [forest_sql("scaled", KEYS, 6, 100), BOUNDARY_FIT, boundary_sql("scaled", KEYS).replace("svm_score AS", "svm_score AS", 1)]
-        + [composite_sql("scaled", rows, KEYS, threshold).replace("iso_score USING", "iso_score USING")]
+        + [forest_sql("scaled", KEYS, 6, 100), boundary_sql("scaled", KEYS)]
+        + [composite_sql("scaled", rows, KEYS, threshold)]
     )
 
 
@@ -437,6 +449,30 @@ def oracle() -> dict[str, str]:
     q["write_parquet"] = f"WITH {PANEL} SELECT {KEYS}, {snap('price')}, record_count FROM panel"
     q["write_csv"] = f"WITH {KNOWN} SELECT {KEYS}, {snap('price')} FROM known"
     q["materialise_or_reuse"] = q["write_csv"]
+    regions_dim = """(VALUES ('Alger', 'ALG', 36.7538, 16), ('Oran', 'ORA', 35.6969, 31), ('Constantine', 'CON', 36.3650, 25),
+        ('Annaba', 'ANN', 36.9000, 23), ('Tlemcen', 'TLE', 34.8828, 13), ('Sétif', 'SET', 36.1833, 19), ('Blida', 'BLI', 36.4703, 9),
+        ('Batna', 'BAT', 35.5560, 5), ('Biskra', 'BIS', 34.8500, 7), ('Béjaïa', 'BEJ', 36.7509, 6)) AS t(region, code, latitude, province)"""
+    q["region_dimension"] = f"""WITH {OBS}, dim AS (SELECT *, row_number() OVER () - 1 AS n FROM {regions_dim})
+      SELECT dim.region, code, province::INTEGER AS province, {s("dim.latitude::DOUBLE")} AS latitude, count(*) AS n_rows, {s("avg(obs.price)")} AS price
+      FROM obs LEFT JOIN dim ON obs.order_key % 11 = dim.n GROUP BY dim.region, code, province, dim.latitude"""
+    products_dim = """(VALUES ('vegetables', 'Tomates', 'kg', 30, 150), ('vegetables', 'Pommes de terre', 'kg', 30, 100),
+        ('vegetables', 'Oignons', 'kg', 30, 120), ('vegetables', 'Carottes', 'kg', 40, 100), ('proteins', 'Poulet', 'kg', 280, 500),
+        ('proteins', 'Viande rouge (mouton)', 'kg', 900, 1800), ('proteins', 'Viande rouge (boeuf)', 'kg', 1000, 2000),
+        ('proteins', 'Oeufs', 'dozen', 150, 300), ('cereals', 'Pain', 'kg', 20, 50), ('cereals', 'Semoule', 'kg', 50, 120),
+        ('cereals', 'Farine', 'kg', 40, 100), ('cereals', 'Riz', 'kg', 100, 250), ('staples', 'Huile végétale', 'liter', 180, 350),
+        ('staples', 'Sucre', 'kg', 70, 150), ('staples', 'Lait', 'liter', 60, 100), ('staples', 'Beurre', 'kg', 600, 1200))
+        AS t(category, product, unit, low, high)"""
+    q["product_dimension"] = f"""WITH {OBS}, dim AS (SELECT *, row_number() OVER () - 1 AS n FROM {products_dim})
+      SELECT dim.product, dim.category, unit, count(*) AS n_rows, count(*) FILTER (price BETWEEN low AND high) AS n_inside
+      FROM obs LEFT JOIN dim ON obs.order_key % 17 = dim.n GROUP BY dim.product, dim.category, unit"""
+    board = """(VALUES ('Alger', 36.74, 3.06), ('Oran', 35.70, -0.63), ('Constantine', 36.37, 6.61), ('Annaba', 36.90, 7.77),
+        ('Tlemcen', 34.88, -1.32), ('Sétif', 36.18, 5.41), ('Batna', 35.56, 6.17), ('Tindouf', 27.67, -8.15), ('Blida', 36.47, 2.83),
+        ('Ouargla', 31.95, 5.32), ('Ghardaïa', 32.49, 3.67), ('Tizi Ouzou', 36.72, 4.05), ('Béjaïa', 36.75, 5.06), ('Laghouat', 33.80, 2.86),
+        ('Biskra', 34.85, 5.73), ('Tamanrasset', 22.79, 5.52), ('Médéa', 36.27, 2.75), ('Mostaganem', 35.93, 0.09), ('Skikda', 36.87, 6.91),
+        ('Jijel', 36.82, 5.77)) AS t(region, lat, lon)"""
+    q["board_regions"] = f"""WITH {OBS}, dim AS (SELECT *, row_number() OVER () - 1 AS n FROM {board})
+      SELECT dim.region, {s("lat::DOUBLE")} AS latitude, {s("lon::DOUBLE")} AS longitude, {s("avg(price)")} AS price
+      FROM obs JOIN dim ON obs.order_key % 21 = dim.n GROUP BY dim.region, lat, lon"""
     q["dimension_ranges"] = f"""WITH {OBS}, dim AS (SELECT p_brand AS product, [min(p_retailprice), max(p_retailprice)] AS span
       FROM part GROUP BY 1) SELECT product, count(*) FILTER (price BETWEEN span[1] AND span[2]) AS n_inside,
       count(*) FILTER (NOT price BETWEEN span[1] AND span[2]) AS n_outside FROM obs LEFT JOIN dim USING (product) GROUP BY 1"""
@@ -455,6 +491,16 @@ def oracle() -> dict[str, str]:
         first_value(price IGNORE NULLS) OVER ({O} {ahead}) AS pb, first_value(ki IGNORE NULLS) OVER ({O} {ahead}) AS ib FROM k),
       f AS (SELECT {KEYS}, coalesce(price, pa + (pb - pa) * ((i - ia) / nullif(ib - ia, 0)::DOUBLE), pa, pb) AS price FROM e)
       SELECT {KEYS}, {snap("price")} FROM f WHERE price IS NOT NULL"""
+    fine = "PARTITION BY product, region, market ORDER BY date, order_key % 64, order_key, price NULLS FIRST"
+    q["impute_interpolate_rows"] = f"""WITH {OBS},
+      gaps AS (SELECT date, product, region, market, order_key, CASE WHEN order_key % 7 <> 0 THEN price END AS price FROM obs),
+      n AS (SELECT *, row_number() OVER ({fine}) AS i FROM gaps),
+      k AS (SELECT *, CASE WHEN price IS NOT NULL THEN i END AS ki FROM n),
+      w AS (SELECT *, last_value(price IGNORE NULLS) OVER a AS pa, last_value(ki IGNORE NULLS) OVER a AS ia,
+        first_value(price IGNORE NULLS) OVER b AS pb, first_value(ki IGNORE NULLS) OVER b AS ib FROM k
+        WINDOW a AS (PARTITION BY product, region, market ORDER BY i {bound}), b AS (PARTITION BY product, region, market ORDER BY i {ahead})),
+      f AS (SELECT *, coalesce(price, pa + (pb - pa) * ((i - ia) / nullif(ib - ia, 0)::DOUBLE), pa, pb) AS filled FROM w)
+      SELECT date::DATE AS date, product, region, market, order_key, {s("filled")} AS price FROM f WHERE filled IS NOT NULL"""
     for name, fill in (("mean", "avg(price)"), ("median", "median(price)")):
         q[f"impute_{name}"] = f"""WITH {GAP_ROWS}, f AS (SELECT date::DATE AS date, product, region, market,
           coalesce(price, {fill} OVER (PARTITION BY product, region, market)) AS price FROM gaps)
@@ -467,7 +513,7 @@ def oracle() -> dict[str, str]:
     q["outlier_zscore"] = f"""WITH {OBS}, b AS (SELECT product, region, avg(price) AS m, stddev_samp(price) AS sd FROM obs GROUP BY 1, 2)
       SELECT {row}, {snap("price")} FROM obs JOIN b USING (product, region) WHERE sd = 0 OR abs((price - m) / sd) <= 3"""
     q["filter_sparse_groups"] = f"""WITH {OBS} SELECT {row}, {snap("price")} FROM obs
-      QUALIFY count(*) OVER ({G}) >= (SELECT count(*) // 125 FROM obs)"""
+      QUALIFY count(*) OVER ({G}) >= (SELECT avg(n) FROM (SELECT count(*) AS n FROM obs GROUP BY product, region))"""
     q["clean_prices"] = f"""WITH {OBS}, d AS (SELECT DISTINCT date, product, region, market, price, price_usd FROM obs
       WHERE date <= TIMESTAMP '2001-06-30' AND price > 0),
       b AS (SELECT product, region, quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3 FROM d GROUP BY 1, 2),
@@ -509,7 +555,7 @@ def oracle() -> dict[str, str]:
     q["detection_features"] = f"WITH {KNOWN}, {detect_sql('known')} SELECT {KEYS}, {snap(*DETECT)} FROM featured"
     q["scale_features"] = f"""WITH {TRAINING} SELECT {KEYS}, {", ".join(f"{s(f'x{i}')} AS s_{f}" for i, f in enumerate(DETECT))} FROM scaled"""
     q["isolation_score"] = f"""WITH {TRAINING}, {forest_sql("scaled", KEYS, 6, 100)} SELECT {KEYS}, {s("iso_score")} AS score FROM iso_score"""
-    q["boundary_score"] = f"""WITH {TRAINING}, {BOUNDARY_FIT}, {boundary_sql("scaled", KEYS)} SELECT {KEYS}, {s("similarity")} AS score FROM svm_score"""
+    q["boundary_score"] = f"""WITH {TRAINING}, {boundary_sql("scaled", KEYS)} SELECT {KEYS}, {s("similarity")} AS score FROM svm_score"""
     q["normalise_score"] = f"WITH {KNOWN} SELECT {KEYS}, {s(minmax('price'))} AS score FROM known"
     q["composite_score"] = f"""WITH {KNOWN}, a AS (SELECT *, {minmax("price")} AS if_score, {minmax("(-price)")} AS u FROM known),
       b AS (SELECT *, u * u AS svm_score FROM a)
@@ -518,6 +564,13 @@ def oracle() -> dict[str, str]:
     scores = snap("price", "if_score", "svm_score", "anomaly_score")
     q["score_panel"] = f"WITH {scored_sql()} SELECT {KEYS}, {scores}, is_anomaly FROM scored"
     q["detector_params_io"] = f"WITH {scored_sql(0.8)} SELECT {KEYS}, {scores}, is_anomaly FROM scored"
+    q["score_repeated_rows"] = f"""WITH {KNOWN},
+      twice AS (SELECT * FROM known UNION ALL SELECT * FROM known WHERE month(date) % 5 = 0),
+      numbered AS (SELECT *, row_number() OVER ({O}) AS rn FROM twice),
+      {detect_sql("numbered", "featured", "rn, ", G, "date, rn")}, {SCALERS}, {scaled_sql("featured", "scaled", "rn, ")},
+      {forest_sql("scaled", "rn, " + KEYS, 6, 100)}, {boundary_sql("scaled", "rn, " + KEYS)},
+      {composite_sql("scaled", "featured", "rn, " + KEYS, 0.7)}
+      SELECT {KEYS}, {scores}, is_anomaly FROM scored"""
     q["severity"] = f"""WITH {SCORED} SELECT {KEYS}, {snap("anomaly_score")}, {grade("anomaly_score")} AS severity,
       {grade("anomaly_score", SEVERITIES_FR)} AS label FROM scored"""
     q["generate_alerts"] = f"WITH {ALERTS} SELECT {ALERT_COLUMNS} FROM alerts"
@@ -537,7 +590,7 @@ def oracle() -> dict[str, str]:
       {scaled_sql("longer", "longer_x", "obs_id, is_new, ")},
       mixed AS (SELECT obs_id, is_new, {KEYS}, false AS fits, x0, x1, x2, x3, x4, x5 FROM longer_x
         UNION ALL SELECT NULL, NULL, {KEYS}, true, x0, x1, x2, x3, x4, x5 FROM scaled),
-      {forest_sql("mixed", "obs_id, is_new, " + KEYS, 6, 100, "fits")}, {BOUNDARY_FIT},
+      {forest_sql("mixed", "obs_id, is_new, " + KEYS, 6, 100, "fits")},
       {boundary_sql("longer_x", "obs_id, is_new, " + KEYS)},
       {composite_sql("longer_x", "longer", "obs_id, is_new, " + KEYS, 0.7, series, "rescored")},
       unknown AS (SELECT obs_id || '?' AS obs_id, product, 'NOWHERE' AS region, date, price FROM fresh WHERE region = 'ASIA')
@@ -674,8 +727,8 @@ def oracle() -> dict[str, str]:
       f AS (SELECT *, {calendar("date", RAMADAN)} AS flag FROM d),
       e AS (SELECT product, avg(price) FILTER (flag = 0) AS outside, avg(price) FILTER (flag = 1) AS inside FROM f GROUP BY 1)
       SELECT product, {snap("outside", "inside")}, {s("(inside / nullif(outside, 0) - 1) * 100")} AS effect_pct FROM e"""
-    q["yoy_inflation"] = f"""WITH {OBS}, y AS (SELECT product, year(date)::INTEGER AS year, avg(price) AS price FROM obs
-        WHERE NOT (year(date) = 1998 AND length(product) = 7) GROUP BY 1, 2),
+    q["yoy_inflation"] = f"""WITH {OBS}, y AS (SELECT product, year(date)::INTEGER AS year,
+        avg(CASE WHEN NOT (year(date) = 1998 AND length(product) = 7) THEN price END) AS price FROM obs GROUP BY 1, 2),
       grid AS (SELECT * FROM (SELECT DISTINCT product FROM y), (SELECT DISTINCT year FROM y)),
       h AS (SELECT g.product, g.year, price, last_value(price IGNORE NULLS) OVER (PARTITION BY g.product ORDER BY g.year
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS held FROM grid g LEFT JOIN y ON g.product = y.product AND g.year = y.year)

@@ -187,6 +187,40 @@ def dimension_ranges(spark, sf_dir):
     )
 
 
+def _named(spark, sf_dir, column, names):
+    """Prices with a dimension's names in place of the numbered ones of the table."""
+    numbers = tables.observations(spark, sf_dir).withColumn("_n", F.pmod(F.col("order_key"), F.lit(len(names) + 1)) + 1)
+    return numbers.withColumn(column, F.try_element_at(F.array(*map(F.lit, names)), F.col("_n").cast("int")))
+
+
+@query
+def region_dimension(spark, sf_dir):
+    """Rows and mean price by province of the region dimension; one name is unknown to it."""
+    names = [r[0] for r in dimensions.REGIONS]
+    rows = _named(spark, sf_dir, "region", names)
+    joined = rows.select("region", "price").join(dimensions.region_dimension(spark), "region", "left")
+    return snapped(joined.groupBy("region", "code", "province", "latitude").agg(F.count("*").alias("n_rows"), F.avg("price").alias("price")))
+
+
+@query
+def product_dimension(spark, sf_dir):
+    """Prices inside the typical range by product of the product dimension."""
+    rows = _named(spark, sf_dir, "product", [p[1] for p in dimensions.PRODUCTS])
+    found = dimensions.with_typical_range(rows.select("product", "price"), dimensions.product_dimension(spark))
+    units = dimensions.product_dimension(spark).select("product", "category", "unit")
+    return found.join(units, "product", "left").groupBy("product", "category", "unit").agg(
+        F.count("*").alias("n_rows"), F.count_if("in_range").alias("n_inside")
+    )
+
+
+@query
+def board_regions(spark, sf_dir):
+    """Mean price at the map coordinates of the board's regions."""
+    rows = _named(spark, sf_dir, "region", [r[0] for r in dimensions.BOARD_REGIONS]).select("region", "price")
+    joined = rows.join(dimensions.board_regions(spark), "region")
+    return snapped(joined.groupBy("region", "latitude", "longitude").agg(F.avg("price").alias("price")))
+
+
 # ---- cleaning ----------------------------------------------------------------
 
 AS_OF = date(2001, 6, 30)
@@ -216,6 +250,17 @@ def impute_interpolate(spark, sf_dir):
     return snapped(cleaning.impute_interpolate(tables.gap_panel(spark, sf_dir)))
 
 
+@query
+def impute_interpolate_rows(spark, sf_dir):
+    """Raw rows: many of a market share a day, and are then ordered by their order key."""
+    rows = tables.observations(spark, sf_dir)
+    blank = F.col("order_key") % 7 == 0
+    rows = rows.select(
+        "date", "product", "region", "market", "order_key", F.when(~blank, F.col("price")).alias("price")
+    )
+    return snapped(cleaning.impute_interpolate(rows, F.col("order_key")))
+
+
 @query
 def impute_mean(spark, sf_dir):
     return snapped(cleaning.impute_mean(tables.gap_rows(spark, sf_dir)))
@@ -248,9 +293,10 @@ def outlier_isolation(spark, sf_dir):
 
 @query
 def filter_sparse_groups(spark, sf_dir):
+    """The threshold is the mean size of a group, so that some go."""
     rows = tables.prices(spark, sf_dir)
-    least = rows.count() // 125  # about the mean size of a group, so that some go
-    return snapped(cleaning.filter_sparse_groups(rows, least))
+    sizes = rows.groupBy(*cleaning.GROUP).count()
+    return snapped(cleaning.filter_sparse_groups(rows, sizes.agg(F.avg("count")).scalar()))
 
 
 @query
@@ -389,6 +435,13 @@ def score_panel(spark, sf_dir):
     return snapped(anomaly.score_panel(stage(tables.known_panel(spark, sf_dir), "panel")))
 
 
+@query
+def score_repeated_rows(spark, sf_dir):
+    """Some months stand twice in the panel; every row keeps its score."""
+    rows = stage(tables.known_panel(spark, sf_dir), "panel")
+    return snapped(anomaly.score_panel(rows.unionByName(rows.where(F.month("date") % 5 == 0))))
+
+
 @query
 def severity(spark, sf_dir):
     rows = tables.scored_panel(spark, sf_dir)
@@ -500,7 +553,7 @@ def forecast_autoregressive(spark, sf_dir):
 @query
 def forecast_window_regression(spark, sf_dir):
     rows = stage(features.build_features(_known(spark, sf_dir)), "features")
-    return snapped(window_model.forecast_window_regression(rows, 12, 12))
+    return snapped(window_model.forecast_window_regression(rows))
 
 
 @query
@@ -736,8 +789,9 @@ def ramadan_effect(spark, sf_dir):
 
 @query
 def yoy_inflation(spark, sf_dir):
-    """One year of some products is left out, so that a year is missing."""
-    rows = tables.prices(spark, sf_dir).where(~((F.year("date") == 1998) & (F.length("product") == 7)))
+    """One year of some products has no prices."""
+    blank = (F.year("date") == 1998) & (F.length("product") == 7)
+    rows = tables.prices(spark, sf_dir).withColumn("price", F.when(~blank, F.col("price")))
     return snapped(analytics.yoy_inflation(rows))
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.staging import stage
+from ..functions.staging import stage, work_dir
 from ..operators.cleaning import aggregate_monthly
 from ..operators.features import pct_change_features
 from ..operators.anomaly import score_panel
+from ..sources.readers import materialise_or_reuse
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -84,12 +87,19 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pct_change_features(known_panel(spark, sf_dir), (1,))
 
 
-_scored: dict[tuple[str, str], DataFrame] = {}
+def version(df: DataFrame) -> str:
+    """Digest of the files behind a table: names, lengths and times of change."""
+    context = df.sparkSession.sparkContext
+    marks = []
+    for name in sorted(df.inputFiles()):
+        path = context._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(context._jsc.hadoopConfiguration()).getFileStatus(path)
+        marks.append(f"{name} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.sha256("\n".join(marks).encode()).hexdigest()[:24]
 
 
 def scored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scored panel, built once per session and read by all reports on it."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _scored:
-        _scored[key] = stage(score_panel(stage(changes(spark, sf_dir), "panel")), "scored")
-    return _scored[key]
+    """The scored panel, kept in the shared folder for as long as its tables don't change."""
+    rows = changes(spark, sf_dir)
+    path = f"{work_dir(spark)}/scored-{version(observations(spark, sf_dir))}"
+    return materialise_or_reuse(spark, path, lambda: score_panel(stage(rows, "panel")))

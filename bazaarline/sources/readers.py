@@ -121,8 +121,13 @@ def read_parquet_safe(spark: SparkSession, path: str) -> DataFrame | None:
 def materialise_or_reuse(
     spark: SparkSession, path: str, build: Callable[[], DataFrame], force: bool = False
 ) -> DataFrame:
-    """The saved table if there is one, else ``build`` it, save it and read it back."""
-    saved = None if force else read_parquet_safe(spark, path)
+    """The saved table if there is one, else ``build`` it, save it and read it back.
+
+    A table counts as saved when its writer has finished it.
+    """
+    done = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    finished = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(done)
+    saved = read_parquet_safe(spark, path) if finished and not force else None
     if saved is not None:
         return saved
     build().write.mode("overwrite").parquet(path)

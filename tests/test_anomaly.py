@@ -8,6 +8,7 @@ from bazaarline.functions.staging import new_path
 from bazaarline.operators import anomaly as A
 from bazaarline.operators.boundary import add_similarity, fit_boundary
 from bazaarline.settings import Settings
+from conftest import SPIKES
 from test_cleaning import series
 
 FAST = Settings(trees=50)
@@ -42,20 +43,33 @@ def test_spikes_score_highest(scored, spiked_rows):
     for (product, region), part in spiked_rows.groupby(["product", "region"]):
         one = scored.where((F.col("product") == product) & (F.col("region") == region))
         best = {r.date for r in one.orderBy(F.desc("anomaly_score")).limit(6).collect()}
-        spikes = set(part["date"].iloc[[10, 30, 55]])
+        spikes = set(part["date"].iloc[list(SPIKES)])
         assert len(best & spikes) >= 2
 
 
-def test_similarity_follows_the_exact_kernel_mean(spark):
+def kernel_mean(x):
+    return np.exp(-((x[:, None] - x[None]) ** 2).sum(-1) / x.shape[1]).mean(1)
+
+
+def test_similarity_is_the_exact_kernel_mean(spark):
     rng = np.random.default_rng(2)
     x = np.r_[rng.normal(size=(100, 6)), rng.normal(4, 1, size=(3, 6))]
+    x = np.r_[x, x[:20]]  # repeated rows weigh twice
     names = [f"x{i}" for i in range(6)]
     df = spark.createDataFrame([("P", "R", i, *map(float, v)) for i, v in enumerate(x)], ["product", "region", "id", *names])
     out = add_similarity(df, fit_boundary(df, A.GROUP, names), A.GROUP, names, "s").orderBy("id").collect()
-    exact = np.exp(-((x[:, None] - x[None]) ** 2).sum(-1) / 6).mean(1)
-    got = np.array([r.s for r in out])
-    assert np.corrcoef(got, exact)[0, 1] > 0.95 and np.abs(got - exact).max() < 0.15
-    assert set(np.argsort(got)[:3]) == {100, 101, 102}
+    assert len(out) == len(x) and [r.s for r in out] == pytest.approx(kernel_mean(x), abs=1e-9)
+    with pytest.raises(Exception, match="more than 50 distinct rows"):
+        fit_boundary(df, A.GROUP, names, longest=50).collect()
+
+
+def test_every_row_keeps_its_score(spark, spiked):
+    """Rows that are equal in every column are scored, not merged."""
+    twice = spiked.union(spiked.where("month(date) = 3"))
+    scored = A.score_panel(twice, FAST)
+    assert scored.count() == twice.count() == 312
+    simple = twice.withColumns({"rolling_3m": F.col("price")})
+    assert A.isolation_score_simple(simple).count() == 312
 
 
 def test_normalise_score(spark):
@@ -88,16 +102,44 @@ def test_saved_detector(spark, spiked, scored):
     assert again.exceptAll(scored).count() == 0
 
 
-@pytest.mark.parametrize("part", [1, 1000])
-def test_new_observations_do_not_affect_each_other(spark, spiked, monkeypatch, part):
-    monkeypatch.setattr(A, "PART", part)
+def by_definition(spark, history, row, detector, settings):
+    """The observation put into a copy of its series, and the whole copy scored."""
+    columns = "product string, region string, date date, price double, _new boolean"
+    own = spark.createDataFrame([(*row[1:], True)], columns)
+    past = history.where((F.col("product") == row[1]) & (F.col("region") == row[2])).withColumn("_new", F.lit(False))
+    scored = A.predict(past.unionByName(own), detector, settings, order=("date", "_new"))
+    return scored.where("_new").head()
+
+
+@pytest.mark.parametrize("window", [1, 2, 6])
+def test_new_observations_equal_their_definition(spark, spiked, window):
+    settings = Settings(trees=30, window=window)
+    history = spiked.select(*A.GROUP, "date", "price").where("month(date) <> 9")
+    detector = A.fit_detector(history, settings)
+    rows = [
+        (f"{i}", "Tomates", "Alger", day, price)
+        for i, (day, price) in enumerate(
+            [(date(2030, 1, 1), 500.0), (date(2023, 3, 1), 100.0), (date(1999, 1, 1), 90.0), (date(2017, 3, 1), 91.0),
+             (date(2017, 4, 17), 400.0), (date(2019, 9, 5), 95.0), (date(2023, 1, 31), 10.0), (date(2018, 5, 1), 300.0)]
+        )
+    ]
+    new = spark.createDataFrame(rows, "obs_id string, product string, region string, date date, price double")
+    got = {r.obs_id: r for r in A.score_new_observations(history, new, detector, settings).collect()}
+    for row in rows:
+        want = by_definition(spark, history, row, detector, settings)
+        assert got[row[0]].anomaly_score == pytest.approx(round(want.anomaly_score, 4), abs=1.01e-4), row
+        assert got[row[0]].is_anomaly == want.is_anomaly and got[row[0]].found
+
+
+def test_new_observations_do_not_affect_each_other(spark, spiked):
     detector = A.fit_detector(spiked, FAST)
     history = spiked.select(*A.GROUP, "date", "price")
-    rows = [("a", "Tomates", "Alger", date(2024, 1, 1), 500.0), ("b", "Tomates", "Alger", date(2024, 1, 1), 100.0), ("c", "Tomates", "Nowhere", date(2024, 1, 1), 1.0)]
+    rows = [("a", "Tomates", "Alger", date(2024, 1, 1), 500.0), ("b", "Tomates", "Alger", date(2024, 1, 1), 100.0), ("c", "Tomates", "Nowhere", date(2024, 1, 1), 1.0), ("a", "Lamb", "South", date(2024, 1, 1), 5.0)]
     new = spark.createDataFrame(rows, "obs_id string, product string, region string, date date, price double")
-    together = {r.obs_id: r for r in A.score_new_observations(history, new, detector, FAST).collect()}
+    together = A.score_new_observations(history, new, detector, FAST).collect()
+    assert len(together) == 4  # an id that repeats keeps both rows
+    found = {(r.obs_id, r.product): r for r in together}
     alone = A.score_new_observations(history, new.where("obs_id = 'b'"), detector, FAST).head()
-    assert together["b"] == alone
-    assert together["a"].is_anomaly and together["a"].anomaly_score > together["b"].anomaly_score
-    assert not together["c"].found and together["c"].anomaly_score is None
-    assert len(together) == 3
+    assert found["b", "Tomates"] == alone
+    assert found["a", "Tomates"].is_anomaly and found["a", "Tomates"].anomaly_score > alone.anomaly_score
+    assert not found["c", "Tomates"].found and found["c", "Tomates"].anomaly_score is None

@@ -103,7 +103,8 @@ def test_zscore_edges(spark):
 
 
 def test_unknown_method_passes_through(spark, panel):
-    assert C.remove_outliers(panel, "nothing").count() == 240
+    with pytest.warns(UserWarning, match="unknown outlier method"):
+        assert C.remove_outliers(panel, "nothing").count() == 240
 
 
 def test_quantiles_of_large_and_skewed_groups(spark):
@@ -172,3 +173,53 @@ def test_aggregation(spark, panel):
     assert [(r.price, r.record_count) for r in gap.orderBy("date").collect()] == [(1.0, 1), (None, 0), (None, 0), (4.0, 1)]
     weeks = C.aggregate_monthly(series(spark, [1.0]), "W").collect()
     assert weeks[0].date == date(2023, 1, 1)
+
+
+def test_counts_per_step(spark, panel):
+    odd = panel.union(panel.limit(7)).union(series(spark, [-1.0, 50.0]).select(panel.columns))
+    steps = {}
+    out = C.clean(odd, Settings(outlier_method="zscore"), steps=steps)
+    n = len(out.collect())
+    assert {k: v.get["n"] for k, v in steps.items()} == {"types": 248, "duplicates": 241, "outliers": 240, "sparse groups": n} and n == 240
+
+
+def test_missed_bracket_raises(spark, monkeypatch):
+    from bazaarline.functions import quantiles
+
+    monkeypatch.setattr(quantiles, "SMALL", 10)
+    monkeypatch.setattr(quantiles, "MARGIN", -0.4)
+    rows = spark.range(500).select(F.lit("g").alias("k"), F.col("id").cast("double").alias("v"))
+    with pytest.raises(Exception, match="missed its rank"):
+        group_quantiles(rows, ["k"], "v", {"m": 0.5}).collect()
+
+
+def test_skew_of_an_isolation_group_can_be_split(spark):
+    """A hot group's rows meet its forest in a join that adaptive execution splits."""
+    from bazaarline.operators.isolation import add_isolation_score, fit_forest
+    from bazaarline.functions.staging import stage
+
+    hot = F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("g"), (F.col("id") % 7).cast("string")))
+    rows = stage(spark.range(200_000).select(hot.alias("g"), (F.col("id") % 9973).cast("double").alias("price"), F.col("id").cast("string").alias("text")))
+    forest = stage(fit_forest(rows, ["g"], ["price"], F.col("text"), trees=10))
+    limits = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    }
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        scored = add_isolation_score(rows, forest, ["g"], ["price"], "s")
+        assert len(scored.select("s").collect()) == 200_000
+        assert "skew=true" in scored.select("s")._jdf.queryExecution().toString() or "skew=true" in final_plan(scored)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def final_plan(df):
+    made = df.select("s")
+    made._jdf.queryExecution().executedPlan().executeCollectPublic()
+    return made._jdf.queryExecution().executedPlan().toString()

@@ -52,8 +52,8 @@ def test_sequences(spark, panel):
     rows = X.build_features(panel)
     out = X.build_sequences(rows, 12)
     assert out.count() == 4 * (60 - 12)
-    one = out.where("product = 'Tomates' and region = 'Oran'").orderBy("date").collect()
-    norm = [r.price_norm for r in rows.where("product = 'Tomates' and region = 'Oran'").orderBy("date").collect()]
+    one = out.where("product = 'Figs' and region = 'North'").orderBy("date").collect()
+    norm = [r.price_norm for r in rows.where("product = 'Figs' and region = 'North'").orderBy("date").collect()]
     assert [step[0] for step in one[0].x] == norm[:12] and one[0].y == norm[12]
     assert len(one[0].x[0]) == 8
     assert X.build_sequences(rows, 60).count() == 0

@@ -63,7 +63,7 @@ def test_ensemble_weights(spark, panel):
 def test_split_and_metrics(spark, panel):
     split = P.holdout_split(panel)
     assert split.where("part = 'train'").count() == 4 * 48
-    assert [r.step for r in split.where("part = 'test' and product = 'Tomates' and region = 'Oran'").orderBy("date").collect()] == list(range(1, 13))
+    assert [r.step for r in split.where("part = 'test' and product = 'Figs' and region = 'North'").orderBy("date").collect()] == list(range(1, 13))
     df = spark.createDataFrame([(100.0, 200.0), (200.0, 400.0)], "y double, p double")
     assert P.metrics(df, "y", "p").head().mape == pytest.approx(100)
     zero = spark.createDataFrame([(0.0, 50.0), (100.0, 110.0)], "y double, p double")
@@ -81,17 +81,17 @@ def test_matching(spark):
 
 
 def test_reply_and_limits(spark, panel):
-    assert P.forecast_reply(panel, "Tomates", "Oran", 6).count() == 6
+    assert P.forecast_reply(panel, "Figs", "North", 6).count() == 6
     with pytest.raises(LookupError, match="Product"):
-        P.forecast_reply(panel, "Nothing", "Oran")
+        P.forecast_reply(panel, "Nothing", "North")
     with pytest.raises(LookupError, match="Region"):
         Q.query_prices(panel, region="Nowhere")
     with pytest.raises(ValueError):
         P.future_calendar(panel, 25)
     with pytest.raises(ValueError):
         Q.query_prices(panel, limit=5001)
-    newest = Q.query_prices(panel, "Tomates", limit=3).collect()
-    assert [r.date for r in newest] == ["2024-12-01", "2024-12-01", "2024-11-01"]
+    newest = Q.query_prices(panel, "Figs", limit=3).collect()
+    assert [r.date for r in newest] == ["2024-06-01", "2024-06-01", "2024-05-01"]
 
 
 def test_window_regression(spark):
@@ -105,5 +105,31 @@ def test_window_regression(spark):
 
 def test_null_profile_and_trend(spark, panel):
     profile = Q.null_profile(panel.withColumn("price", F.when(F.month("date") > 1, F.col("price")))).head()
-    assert profile.missing_price == 20 and profile.min_year == 2020
+    assert profile.missing_price == 20 and profile.min_year == 2019
     assert Q.price_trend(panel).count() == 120
+
+
+def test_any_interval_width(spark, panel):
+    assert P.quantile_of(0.95) == 1.96 and P.quantile_of(0.8) == pytest.approx(1.2816, abs=1e-4)
+    wide = P.forecast_quadratic(panel, 3, 0.99).head()
+    narrow = P.forecast_quadratic(panel, 3, 0.5).where((F.col("product") == wide["product"]) & (F.col("region") == wide.region)).where(F.col("step") == wide.step).head()
+    assert wide.yhat_upper - wide.yhat_lower > narrow.yhat_upper - narrow.yhat_lower > 0
+    with pytest.raises(ValueError):
+        P.quantile_of(1.5)
+
+
+def test_window_regression_is_a_ridge_regression(spark, panel):
+    """The fitted model against normal equations solved in numpy, on all windows."""
+    rows = X.normalise(panel)
+    model = M.fit_window_regression(rows, 12)
+    windows = X.build_sequences(rows, 12, "price_norm", M.WINDOW_FEATURES).collect()
+    x = np.array([np.ravel(w.x) for w in windows])
+    y = np.array([w.y for w in windows])
+    wide = x.std(0)
+    used = wide > 0
+    z, goal = (x[:, used] - x[:, used].mean(0)) / wide[used], y - y.mean()
+    # the penalty counts on features and a label of unit deviation
+    weights = np.linalg.solve(z.T @ z / len(y) + 0.01 / y.std() * np.eye(z.shape[1]), z.T @ goal / len(y))
+    want = z @ weights + y.mean()
+    got = x @ model.coefficients.toArray() + model.intercept
+    assert np.abs(got - want).max() < 1e-6

@@ -2,11 +2,14 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+import __spark_entry__
+from __spark_entry__ import entry
+from bazaarline.plans.oracle import oracle
+from bazaarline.plans.queries import QUERIES as RUNS
 from check import compare, connect
 from conftest import SMALL
 
-RUNS, SQL = queries(), oracle_sql()
+SQL = oracle()
 
 
 @pytest.fixture(scope="module")
@@ -14,6 +17,11 @@ def con():
     return connect(SMALL)
 
 
+def test_entry_registers_them_all():
+    assert set(RUNS) <= set(__spark_entry__.queries()) and set(SQL) <= set(__spark_entry__.oracle_sql())
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
 def test_every_sql_has_a_query():
     assert set(SQL) <= set(RUNS)
     assert set(RUNS) - set(SQL) == {"outlier_isolation", "forecast_window_regression"}

@@ -87,3 +87,34 @@ def test_dimensions(spark):
     df = spark.createDataFrame([("Tomates", 100.0), ("Tomates", 200.0), ("?", 1.0)], "product string, price double")
     out = {(r.product, r.price): r.in_range for r in dimensions.with_typical_range(df, dimensions.product_dimension(spark)).collect()}
     assert out == {("Tomates", 100.0): True, ("Tomates", 200.0): False, ("?", 1.0): None}
+
+
+def test_scratch_tables_go(spark):
+    import os
+
+    from bazaarline.functions.staging import scratch
+
+    with scratch(spark) as folder:
+        staged = stage(spark.range(3))
+        path = staged.inputFiles()[0].split(":")[-1].lstrip("/")
+        assert os.path.exists(f"/{path}") and folder.split(":")[-1].lstrip("/") in path
+    assert not os.path.exists(f"/{path}")
+    assert folder not in work_dir(spark)
+
+
+def test_a_cluster_needs_a_shared_folder():
+    class Context:
+        master, applicationId = "spark://host:7077", "app-1"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(Session())
+    Context.master = "local-cluster[3,2,1000]"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        work_dir(Session())
