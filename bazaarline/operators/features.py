@@ -56,10 +56,13 @@ def pct_change_features(df: DataFrame, steps: Sequence[int] = CHANGES) -> DataFr
 
 
 def price_vs_national(df: DataFrame) -> DataFrame:
-    """Price over the mean price of all regions on that date."""
-    national = df.groupBy("product", "date").agg(F.avg("price").alias("_national"))
-    joined = df.join(national, ["product", "date"], "left")
-    return joined.select(*df.columns, ratio(F.col("price"), F.col("_national")).alias("price_vs_national"))
+    """Price over the mean price of all regions on that date.
+
+    In a panel such a group has one row per region, so a window reads the panel once.
+    """
+    known_key = F.col("product").isNotNull() & F.col("date").isNotNull()
+    national = F.when(known_key, F.avg("price").over(W.partitionBy("product", "date")))
+    return df.withColumn("price_vs_national", ratio(F.col("price"), national))
 
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.calendar import is_holiday, is_ramadan
 from ..functions.scalars import ratio
+from ..functions.staging import stage
 from .features import GROUP, over_time
 
 MIN_ROWS = 24
@@ -173,7 +174,8 @@ def forecast_ensemble(
     ar_weight: float = 0.5,
     interval: float = 0.95,
 ) -> DataFrame:
-    rows = fit_gate(df)
+    """Both models from one staged panel, a row per series and month."""
+    rows = stage(fit_gate(df.select(*GROUP, "date", "price")), "panel")
     trend = predict_seasonal_trend(fit_seasonal_trend(rows), horizon, interval)
     ar = predict_autoregressive(fit_autoregressive(rows), horizon) if ar_weight else None
     return combine(trend, ar, trend_weight, ar_weight)
