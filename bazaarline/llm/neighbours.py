@@ -17,8 +17,10 @@ def in_order(df: DataFrame, key: str, text: str, buckets: int | None = None) ->
     a key that repeats is cut by that hash. The driver sees one key per range.
     """
     spark = df.sparkSession
-    # several ranges to a task: hashing ranges to tasks then evens out
-    buckets = buckets or 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # several ranges to a task, as far as the list of bounds stays short: ranges hashed to
+    # tasks then even out
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or max(tasks, min(8 * tasks, 2048))
     kind = df.schema[key].dataType.simpleString()
     rows = df.select(F.col(key), F.col(text)).withColumn("_h", F.xxhash64(text))
     place = F.struct(F.col(key).alias("k"), F.col("_h").alias("h"))

@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.staging import new_path, stage
+from .names import fresh
 
 
 @dataclass(frozen=True)
@@ -178,10 +179,9 @@ def masked(text: Column, found: Column) -> Column:
 def mask(df: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
     """``df`` with its secrets overwritten; all rows and columns stay, null texts stay null."""
     found = findings(df, path, key, text).where(F.size("findings") > 0)
-    hits = stage(
-        found.select("blob", "findings").dropDuplicates(["blob"]).select(F.col("blob").alias("_hit"), F.col("findings").alias("_found")),
-        "hits",
-    )
-    joined = df.join(hits, F.sha2(F.coalesce(F.col(text), F.lit("")), 256) == F.col("_hit"), "left")
-    new = F.when(F.col("_hit").isNull(), F.col(text)).otherwise(masked(F.col(text), F.col("_found")))
+    hit, spans_ = fresh(df, "_hit"), fresh(df, "_found")
+    by_blob = found.select("blob", "findings").dropDuplicates(["blob"])
+    hits = stage(by_blob.select(F.col("blob").alias(hit), F.col("findings").alias(spans_)), "hits")
+    joined = df.join(hits, F.sha2(F.coalesce(F.col(text), F.lit("")), 256) == F.col(hit), "left")
+    new = F.when(F.col(hit).isNull(), F.col(text)).otherwise(masked(F.col(text), F.col(spans_)))
     return joined.select(*(new.alias(c) if c == text else F.col(c) for c in df.columns))

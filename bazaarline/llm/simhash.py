@@ -26,8 +26,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.staging import stage
+from ..functions.staging import spread, stage
 from .components import components
+from .names import fresh
 
 #: Bits of the three segments, from the lowest.
 WIDTHS = (23, 23, 18)
@@ -163,6 +164,8 @@ def links(prints: DataFrame, most: int = 3) -> DataFrame:
     """``a, b``: pairs of distinct fingerprints that differ in at most ``most`` (3) bits."""
     if most > 3:
         raise ValueError("the keys find at most three differing bits")
+    # a fingerprint is few bytes but many keys: by file size, too many would share a task
+    prints = spread(prints.select("fp"), "fp")
     left = key_rows(prints, True).withColumnRenamed("fp", "a")
     right = key_rows(prints, False).withColumnRenamed("fp", "b")
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
@@ -207,6 +210,7 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", most: i
     without any key.
     """
     kept = groups(df, key, text, most).where(F.col("id").eqNullSafe(F.col("component_id")))
-    kept = stage(kept.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash")), "kept")
-    own = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    return df.join(kept, F.col(key).eqNullSafe(F.col("_id")) & (own == F.col("_hash")), "left_semi")
+    own_id, own_hash = fresh(df, "_id"), fresh(df, "_hash")
+    kept = stage(kept.select(F.col("id").alias(own_id), F.col("text_hash").alias(own_hash)), "kept")
+    text_hash = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    return df.join(kept, F.col(key).eqNullSafe(F.col(own_id)) & (text_hash == F.col(own_hash)), "left_semi")

@@ -26,7 +26,7 @@ def odd_docs(spark):
     """Null and repeated keys, repeated rows, and columns whose names the operators use."""
     rows = [(i, t) for i, t in enumerate(TEXTS)] + [(None, TEXTS[5]), (3, "word"), (3, "word")]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    names = ["key", "id", "fp", "ids", "start", "length", "blob", "findings", "bucket", "guest", "page", "value", "_next", "score"]
+    names = ["key", "id", "fp", "ids", "start", "length", "blob", "findings", "bucket", "guest", "page", "value", "_next", "score", "_id", "_hash", "_hit", "_found"]
     return docs.withColumns({n: F.lit("clash") for n in names})
 
 
