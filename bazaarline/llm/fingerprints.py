@@ -15,7 +15,7 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
-from hashlib import blake2b
+from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
@@ -111,18 +111,16 @@ def parsed(fingerprint: str | None) -> tuple[np.ndarray, np.ndarray]:
     return wide.view("<u8").ravel(), made["length"].astype("i8")
 
 
-def shared(a: str | None, b: str | None) -> float:
-    """Share of a's chunk length that b has; 1 for two empty fingerprints, else 0 for an empty one."""
+def contained(a: dict[int, int], b: dict[int, int]) -> float:
+    """Share of a's chunk length that b has; 1 for two empty sets, else 0 for an empty one."""
     if not a:
         return float(not b)
-    if a == b:
-        return 1.0
-    digests, lengths = parsed(a)
-    others, _ = parsed(b)
-    if not len(others):
-        return 0.0
-    at = np.minimum(np.searchsorted(others, digests), len(others) - 1)
-    return float(lengths[others[at] == digests].sum() / lengths.sum())
+    return sum(n for digest, n in a.items() if digest in b) / sum(a.values())
+
+
+def shared(a: str | None, b: str | None) -> float:
+    """``contained`` of two written fingerprints."""
+    return contained(*(dict(zip(*(x.tolist() for x in parsed(p)))) for p in (a, b)))
 
 
 def fingerprint(text: Column | str, how: Chunking = Chunking()) -> Column:
@@ -154,26 +152,35 @@ def edited_and_next(df: DataFrame, key: str = "doc_id", text: str = "text", how:
 
     The edited text has its last quarter of code points replaced by as many first ones of
     the next document in ascending key order (after the last: the first). Null texts are
-    empty; null keys come first; a single row follows itself. Texts are moved once.
+    empty; null keys come first; a single row follows itself. Texts are moved once, and one
+    Python pass over a task's rows, in order, makes all the figures.
     """
     whole = df.select(F.col(key), F.coalesce(F.col(text), F.lit("")).alias(text))
     rows, order = in_order(whole, key, text)
-    n = F.char_length(text)
-    quarter = F.floor(n / 4).cast("int")
-    after = rows.withColumn("_next", F.lead(text).over(order)).where("guest = 0")
-    head = F.substring("_next", F.lit(1), quarter)
-    edited = F.concat(F.substring(text, F.lit(1), n - quarter), head)
-    # the next text is chunked again: cheaper than a second shuffle for its fingerprint
-    made = after.select(key, text, "_next", edited.alias("edited")).select(
-        key,
-        n.cast("long").alias("n_chars"),
-        F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(text, how).alias("fingerprint"),
-        fingerprint("edited", how).alias("edited_fingerprint"),
-        fingerprint("_next", how).alias("next_fingerprint"),
-    )
-    return made.select(
-        key, "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        containment("fingerprint", "edited_fingerprint").alias("near_edited"),
-        containment("fingerprint", "next_fingerprint").alias("near_next"),
-    )
+    after = rows.withColumn("_next", F.lead(text).over(order)).where("guest = 0").select(key, text, "_next")
+    names = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ahead = (None, {})  # the next text is, as a rule, the following row's own
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part, out = batch.slice(at, 512), [[] for _ in names]
+                for own, following in zip(part.column(1).to_pylist(), part.column(2).to_pylist()):
+                    chunks = ahead[1] if own == ahead[0] else chunk_set(own, how)
+                    ahead = (following, chunk_set(following, how))
+                    quarter = len(own) // 4
+                    edited = own[: len(own) - quarter] + following[:quarter]
+                    other = chunk_set(edited, how)
+                    values = (
+                        len(own), sha256(edited.encode("utf-8")).hexdigest(), written(chunks), written(other),
+                        contained(chunks, other), contained(chunks, ahead[1]),
+                    )
+                    for column, value in zip(out, values):
+                        column.append(value)
+                arrays = [pa.array(c, kind) for c, kind in zip(out, kinds)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *arrays], [key, *names])
+
+    kind = df.schema[key].dataType.simpleString()
+    figures = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+    return after.mapInArrow(run, f"`{key}` {kind}, {figures}")
