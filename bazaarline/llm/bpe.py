@@ -16,11 +16,13 @@ import json
 import os
 import re
 from array import array
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+from .names import fresh
 
 #: White space (Unicode White_Space) up to U+017F.
 WHITE = "\t\n\x0b\x0c\r \x85\xa0"
@@ -262,6 +264,30 @@ def decode(ids: Column | str, path: str) -> Column:
     return F.arrow_udf(run, "string")(F.col(ids) if isinstance(ids, str) else ids)
 
 
+def coded(
+    df: DataFrame, path: str, text: str = "text", keep: Sequence[str] | None = None, ids: str = "ids", decoded: str = "decoded", rows: int = 256
+) -> DataFrame:
+    """The columns ``keep`` (default: all) with ``ids`` and their text ``decoded`` again.
+
+    One Python pass that hands on ``rows`` rows at a time, so a task holds the ids and
+    texts of a few documents only. Columns called ``ids`` and ``decoded`` are replaced.
+    """
+    keep = [c for c in (df.columns if keep is None else keep) if c not in (ids, decoded)]
+    made = [T.StructField(ids, T.BinaryType()), T.StructField(decoded, T.StringType())]
+    schema = T.StructType([df.schema[c] for c in keep] + made)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path)
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
+                encoded = [own.encode(t) for t in part.column(0).to_pylist()]
+                arrays = [pa.array(encoded, pa.binary()), pa.array(map(own.decode, encoded), pa.string())]
+                yield pa.RecordBatch.from_arrays([*part.columns[1:], *arrays], schema.names)
+
+    return df.select(F.col(text).alias(fresh(df, "_text")), *keep).mapInArrow(run, schema)
+
+
 class Ranked(Bpe):
     """The same ids, with unseen chunks merged by the rank file of the same vocabulary."""
 

@@ -21,9 +21,8 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read(spark, sf_dir, "documents").select("doc_id", bpe.encode("text", WORD).alias("ids"))
-    back = docs.withColumn("decoded", bpe.decode("ids", WORD))
-    return back.select(
+    coded = bpe.coded(read(spark, sf_dir, "documents"), WORD, keep=["doc_id"])
+    return coded.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

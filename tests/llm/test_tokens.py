@@ -75,6 +75,11 @@ def test_odd_documents(odd_docs):
         ids = by_library(WORD, row.text)
         assert unpacked(row.w) == ids
         assert row.back == LIBRARY[WORD].decode(ids, skip_special_tokens=False)
+    whole = bpe.coded(odd_docs, WORD)
+    assert whole.columns == [c for c in odd_docs.columns if c != "ids"] + ["ids", "decoded"]
+    pairs = lambda rows: sorted((str(r.doc_id), bytes(r.w), r.back) for r in rows)
+    again = whole.select("doc_id", "ids", "decoded").toDF("doc_id", "w", "back").collect()
+    assert pairs(again) == pairs(made.collect())
     for row in counts.with_counts(odd_docs.withColumn("n_tokens", F.lit("x")), BYTE).collect():
         n = len(by_library(BYTE, row.text))
         assert (row.n_bytes, row.n_tokens, row.over_limit) == (len((row.text or "").encode()), n, n > 512)
