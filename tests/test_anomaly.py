@@ -102,13 +102,13 @@ def test_saved_detector(spark, spiked, scored):
     assert again.exceptAll(scored).count() == 0
 
 
-def by_definition(spark, history, row, detector, settings):
-    """The observation put into a copy of its series, and the whole copy scored."""
-    columns = "product string, region string, date date, price double, _new boolean"
-    own = spark.createDataFrame([(*row[1:], True)], columns)
-    past = history.where((F.col("product") == row[1]) & (F.col("region") == row[2])).withColumn("_new", F.lit(False))
-    scored = A.predict(past.unionByName(own), detector, settings, order=("date", "_new"))
-    return scored.where("_new").head()
+def by_definition(history, new, detector, settings):
+    """Every observation put into its own copy of its series, and the copies scored."""
+    columns = ["obs_id", *A.GROUP, "date", "price", "_new"]
+    past = new.select("obs_id", *A.GROUP).join(history, A.GROUP).withColumn("_new", F.lit(False))
+    copies = new.withColumn("_new", F.lit(True)).select(columns).unionByName(past.select(columns))
+    scored = A.predict(copies, detector, settings, ["obs_id", *A.GROUP], ("date", "_new"), A.GROUP)
+    return {r.obs_id: r for r in scored.where("_new").collect()}
 
 
 @pytest.mark.parametrize("window", [1, 2, 6])
@@ -125,10 +125,11 @@ def test_new_observations_equal_their_definition(spark, spiked, window):
     ]
     new = spark.createDataFrame(rows, "obs_id string, product string, region string, date date, price double")
     got = {r.obs_id: r for r in A.score_new_observations(history, new, detector, settings).collect()}
-    for row in rows:
-        want = by_definition(spark, history, row, detector, settings)
-        assert got[row[0]].anomaly_score == pytest.approx(round(want.anomaly_score, 4), abs=1.01e-4), row
-        assert got[row[0]].is_anomaly == want.is_anomaly and got[row[0]].found
+    want = by_definition(history, new, detector, settings)
+    assert set(got) == set(want) == {r[0] for r in rows}
+    for obs, row in want.items():
+        assert got[obs].anomaly_score == pytest.approx(round(row.anomaly_score, 4), abs=1.01e-4), row
+        assert got[obs].is_anomaly == row.is_anomaly and got[obs].found
 
 
 def test_new_observations_do_not_affect_each_other(spark, spiked):
