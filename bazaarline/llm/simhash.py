@@ -209,7 +209,12 @@ def deduplicated(df: DataFrame, key: str = "doc_id", text: str = "text", most: i
     Rows that repeat both the kept key and its text stay together, as do all rows of a group
     without any key.
     """
-    kept = groups(df, key, text, most).where(F.col("id").eqNullSafe(F.col("component_id")))
+    return first_of_each(df, groups(df, key, text, most), key, text)
+
+
+def first_of_each(df: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
+    """Rows of ``df`` that have the smallest key of their group in ``found``."""
+    kept = found.where(F.col("id").eqNullSafe(F.col("component_id")))
     own_id, own_hash = fresh(df, "_id"), fresh(df, "_hash")
     kept = stage(kept.select(F.col("id").alias(own_id), F.col("text_hash").alias(own_hash)), "kept")
     text_hash = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
