@@ -122,7 +122,8 @@ def candidates(cut: DataFrame) -> DataFrame:
     )
     whole = F.col("size") >= F.col("head") + F.col("length")
     body = F.expr("substring(raw, cast(head + 1 as int), cast(length as int))")
-    narrow = parsed.withColumn("digest_read", F.when(whole, F.sha2(body, 256))).drop("raw")
+    narrow = parsed.withColumn("digest_read", F.when(whole, F.sha2(body, 256)))
+    narrow = narrow.withColumn("mark", F.xxhash64("raw")).drop("raw")
     # offsets: sizes and version lines before, by file; only these narrow rows are ordered
     before = Window.partitionBy("file").orderBy("block", "row").rowsBetween(Window.unboundedPreceding, -1)
     start = F.coalesce(F.sum(F.col("size") + len(MAGIC)).over(before), F.lit(0))
@@ -173,7 +174,8 @@ def read(spark: SparkSession, path: str, kind: str = "bigint") -> DataFrame:
     else:
         mended = stage(rejoined(spark, path, found, broken), "mended")
         full = own.join(mended, (F.col("file") == F.col("f")) & (F.col("at") == F.col("a")), "left")
-        full = full.withColumn("digest_read", F.coalesce("digest_read", "digest_mended"))
+        full = full.join(lengths(found), F.col("file") == F.col("g"))
+        full = full.withColumn("digest_read", F.coalesce("digest_read", "digest_mended", lost()))
         full = stage(full.select(columns), "read")
     answers = stage(
         full.where("record_type = 'response'").groupBy(F.col("page_id").alias("p"))
@@ -193,6 +195,21 @@ def read(spark: SparkSession, path: str, kind: str = "bigint") -> DataFrame:
     )
 
 
+def lengths(found: DataFrame) -> DataFrame:
+    """``g, bytes``: up to where each file was cut; a closing version line may be left out."""
+    return found.groupBy(F.col("file").alias("g")).agg(F.max(F.col("at") + len(MAGIC) + F.col("size")).alias("bytes"))
+
+
+def lost() -> Column:
+    """An error where a payload that the file holds wasn't mended; null for one cut off.
+
+    The second scan may be split otherwise than the first, if executors come or go between.
+    """
+    end = F.col("at") + len(MAGIC) + F.col("head") + F.col("length")
+    told = F.concat(F.lit("archive was split anew between two scans: "), F.col("file"), F.lit(" at "), F.col("at"))
+    return F.when(end <= F.col("bytes"), F.raise_error(told).cast("string"))
+
+
 def rejoined(spark: SparkSession, path: str, found: DataFrame, broken: DataFrame) -> DataFrame:
     """``f, a, digest_mended`` of records whose payload holds version lines.
 
@@ -200,17 +217,18 @@ def rejoined(spark: SparkSession, path: str, found: DataFrame, broken: DataFrame
     goes to the last such record before it. A group is one record's pieces.
     """
     starts = broken.withColumn("record", F.col("at"))
-    marks = found.select("file", "at", "block", "row").join(
+    marks = found.select("file", "at", "block", "row", "mark").join(
         starts.select(F.col("file").alias("f"), F.col("at").alias("a"), "record", "next", "head", "length"),
         (F.col("file") == F.col("f")) & (F.col("at") == F.col("a")),
         "left",
     )
     up_to = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
     last = [F.last(c, True).over(up_to).alias(c) for c in ("record", "next", "head", "length")]
-    held = marks.select("file", "at", "block", "row", *last).where("at < next")
-    held = stage(held.select(F.col("file").alias("f"), F.col("block").alias("b"), F.col("row").alias("r"), "at", "record", "head", "length"), "held")
+    held = marks.select("file", "at", "block", "row", "mark", *last).where("at < next")
+    held = stage(held.select(F.col("file").alias("f"), F.col("block").alias("b"), F.col("row").alias("r"), "mark", "at", "record", "head", "length"), "held")
     again = pieces(spark, path).select("file", "block", "row", F.col("value").cast("binary").alias("raw"))
     same = (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")) & (F.col("row") == F.col("r"))
+    same &= F.xxhash64("raw") == F.col("mark")  # the scan may be split anew: never another piece
     grouped = again.join(held, same).groupBy("f", "record").agg(
         F.first("head").alias("head"), F.first("length").alias("length"),
         F.array_sort(F.collect_list(F.struct("at", "raw"))).alias("parts"),

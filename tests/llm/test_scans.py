@@ -144,6 +144,25 @@ def test_broken_end_and_empty_archives(spark, tmp_path):
     assert warc.round_trip(empty).count() == 0
 
 
+def test_a_second_scan_that_is_split_otherwise_is_an_error(spark, tmp_path, monkeypatch):
+    rows = [(i, "u", f"{i}" * 150 + warc.MAGIC + "y" * 300) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write(df, str(tmp_path / "warc"))
+    assert all(r.intact for r in warc.read(spark, str(tmp_path / "warc")).collect())
+    before, mend = spark.conf.get("spark.sql.files.maxPartitionBytes"), warc.rejoined
+
+    def elsewhere(*args):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+        return mend(*args)
+
+    monkeypatch.setattr(warc, "rejoined", elsewhere)
+    try:
+        with pytest.raises(Exception, match="split anew"):
+            warc.read(spark, str(tmp_path / "warc")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 # --- top-k -----------------------------------------------------------------------
 
 
