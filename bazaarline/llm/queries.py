@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, counts, fingerprints, packing, quality, secret_ledger, simhash, token_files, topk, warc
+from . import bpe, counts, fingerprints, packing, quality, secret_ledger, simhash, substrings, token_files, topk, warc
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -78,6 +78,11 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = substrings.without_repeats(read(spark, sf_dir, "documents"), as_text=False)
+    return made.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_bpe": op2_bpe,
@@ -89,6 +94,7 @@ QUERIES = {
     "op8_pivot_topk": op8_pivot_topk,
     "op9_simhash": op9_simhash,
     "op10_secret_ledger": op10_secret_ledger,
+    "op12_substring_dedup": op12_substring_dedup,
 }
 
 
