@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from bazaarline.functions.staging import stage as written
-from bazaarline.llm import overlap, packing, quality, secret_ledger
+from bazaarline.llm import packing, quality, secret_ledger, simhash
 from bazaarline.llm.queries import BYTE, BYTE_RANKS, read
 
 
@@ -23,9 +23,10 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the smallest id, of each group of near duplicates.
 
-    Near duplicates share 0.8 or more of their five-word shingles (Jaccard).
+    Near duplicates have SimHash fingerprints of three-word shingles that differ in at most
+    three bits, or are linked by others that do.
     """
-    return overlap.deduplicated(docs)
+    return simhash.deduplicated(docs, shingle=3, most=3)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
