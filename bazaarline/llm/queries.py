@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, counts, fingerprints, packing, quality, secret_ledger, simhash, substrings, token_files, topk, warc
+from . import bpe, counts, fingerprints, lexical, packing, quality, secret_ledger, simhash, substrings, token_files, topk, warc
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -78,6 +78,10 @@ def op10_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.top_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = substrings.without_repeats(read(spark, sf_dir, "documents"), as_text=False)
     return made.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
@@ -94,6 +98,7 @@ QUERIES = {
     "op8_pivot_topk": op8_pivot_topk,
     "op9_simhash": op9_simhash,
     "op10_secret_ledger": op10_secret_ledger,
+    "op11_lexical_search": op11_lexical_search,
     "op12_substring_dedup": op12_substring_dedup,
 }
 
@@ -157,4 +162,27 @@ TOPK_SQL = """
     SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score
     FROM s QUALIFY rank <= 5"""
 
-SQL = {"op7_warc": WARC_SQL, "op8_pivot_topk": TOPK_SQL, "op10_secret_ledger": _secret_sql()}
+LEXICAL_SQL = """
+    WITH words AS (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[a-z0-9\\x{80}-\\x{10ffff}]+')) AS term FROM documents),
+    asked AS (
+        SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                           '[a-z0-9\\x{80}-\\x{10ffff}]+')) AS term FROM benchmark),
+    lengths AS (SELECT doc_id, count(*)::BIGINT AS n FROM words GROUP BY 1),
+    corpus AS (SELECT count(*)::BIGINT AS docs, sum(n)::BIGINT AS total FROM lengths),
+    postings AS (
+        SELECT doc_id, term, count(*)::BIGINT AS tf FROM words WHERE term IN (SELECT term FROM asked) GROUP BY 1, 2),
+    weights AS (
+        SELECT term, floor(1000 * ln((2 * any_value(docs) + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+        FROM postings, corpus GROUP BY term),
+    impacts AS (
+        SELECT doc_id, term, (1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total)) AS c
+        FROM postings JOIN lengths USING (doc_id), corpus),
+    scores AS (
+        SELECT item_id, doc_id, sum(w * c)::BIGINT AS score
+        FROM asked JOIN weights USING (term) JOIN impacts USING (term) GROUP BY 1, 2)
+    SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+    FROM scores WHERE score > 0 QUALIFY rank <= 50"""
+
+SQL = {"op11_lexical_search": LEXICAL_SQL, "op7_warc": WARC_SQL, "op8_pivot_topk": TOPK_SQL, "op10_secret_ledger": _secret_sql()}
