@@ -5,10 +5,11 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, counts, fingerprints, lexical, packing, quality, secret_ledger, simhash, substrings, token_files, topk, warc
+from . import alignment, bpe, counts, fingerprints, lexical, packing, quality, secret_ledger, simhash, substrings, token_files, topk, warc
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 BYTE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 WORD = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -87,6 +88,11 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "n_words", "n_removed", F.col("kept").alias("kept_sha256"))
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = alignment.aligned(read(spark, sf_dir, "documents"), BYTE_RANKS, PIECES, as_text=False)
+    return made.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     "op1_fingerprints": op1_fingerprints,
     "op2_bpe": op2_bpe,
@@ -100,6 +106,7 @@ QUERIES = {
     "op10_secret_ledger": op10_secret_ledger,
     "op11_lexical_search": op11_lexical_search,
     "op12_substring_dedup": op12_substring_dedup,
+    "op13_alignment": op13_alignment,
 }
 
 
