@@ -29,8 +29,9 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..functions.staging import stage
+from ..functions.staging import new_path, stage
 from .names import fresh
+from .tidy import settings
 
 #: Bytes that divide terms become spaces; only A-Z are lower-cased.
 TERMS = bytes(
@@ -275,20 +276,18 @@ def build(rows: DataFrame, weights: Weights, shard_docs: int, shard_terms: int,
         if held:
             yield close()
 
-    out = rows.where(F.octet_length("ids") > 0).mapInArrow(run, schema)
-    return out
+    return rows.where(F.octet_length("ids") > 0).mapInArrow(run, schema)
 
 
 class Shard:
     """A stored shard, opened for queries."""
 
-    def __init__(self, row: dict[str, bytes], size: int):
-        a = {p: np.frombuffer(row[p], "<u4").astype("i8") for p in PARTS}
-        self.first, self.terms, self.impacts = a["first"], a["terms"], a["impacts"]
+    def __init__(self, row: dict, size: int):
+        a = {p: np.frombuffer(row[p], "<u4") for p in PARTS}
+        self.first, self.terms, self.impacts = a["first"].astype("i8"), a["terms"], a["impacts"]
         self.members, self.cols, self.maxima = a["members"], a["cols"], a["maxima"]
-        self.starts = np.concatenate([[0], np.cumsum(a["sizes"])])  # block -> members
-        self.rows = np.concatenate([[0], np.cumsum(a["widths"])])  # block -> summary
-        blocks = np.concatenate([[0], np.cumsum(a["of_list"])])
+        ends = lambda p: np.concatenate([[0], np.cumsum(a[p], dtype="i8")])
+        self.starts, self.rows, blocks = ends("sizes"), ends("widths"), ends("of_list")  # rows: of summaries
         self.blocks = {t: (int(x), int(y)) for t, x, y in zip(a["lists"].tolist(), blocks, blocks[1:])}
         self.vector = np.zeros(size, "i8")
         self.scored = self.skipped = 0
@@ -355,7 +354,7 @@ def search(index: DataFrame, queries: Queries, weights: Weights, k: int) -> Data
         bars = [0] * len(asked)  # a k-th score of one shard holds for the next
         for batch in batches:
             for at in range(batch.num_rows):
-                shard = Shard({p: batch.column(p)[at].as_py() for p in PARTS}, len(weight))
+                shard = Shard({p: batch.column(p)[at].as_buffer() for p in PARTS}, len(weight))
                 keys = batch.column("docs")[at].values
                 for q, terms in enumerate(asked):
                     docs, scores, bars[q] = shard.search(terms, [weight[t] for t in terms], k, bars[q])
@@ -387,8 +386,8 @@ def top_documents(
     item_key: str = "item_id",
     item_text: str = "text",
     set_bytes: int = 8 << 20,
-    shard_docs: int = 8192,
-    shard_terms: int = 4 << 20,
+    shard_docs: int = 4096,
+    shard_terms: int = 1 << 20,
     block: int = 256,
 ) -> DataFrame:
     """``item_key, rank, key, score``: the ``k`` best documents above 0 for every item.
@@ -416,8 +415,12 @@ def top_documents(
         vocabulary = queries.vocabulary
         held = stage(forward(rows, vocabulary), "forward")
         weights = weigh(held, len(vocabulary))
-        index = stage(build(held, weights, shard_docs, shard_terms, block), "index")
-        best = stage(ranked(search(index, queries, weights, k), k), "ranked")
+        path = new_path(spark, "index")
+        made = build(held, weights, shard_docs, shard_terms, block)
+        made.write.option("parquet.block.size", 16 << 20).parquet(path)  # a reader holds one group at a time
+        index = spark.read.schema(made.schema).parquet(path)
+        with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1"}):  # a row is a whole shard
+            best = stage(ranked(search(index, queries, weights, k), k), "ranked")
         names = T.StructType([T.StructField("own", T.LongType()), T.StructField("item", schema[0].dataType)])
         asked = spark.createDataFrame(list(enumerate(queries.ids)), names)
         made = best.join(asked, F.col("query") == F.col("own"))
