@@ -8,7 +8,7 @@ blocks on that grid are the index, and every rolling block of every document pro
    document of each block; probes then stream past them, so a bucket's memory is its part
    of the index, whatever the number of documents that share a block. No pairs are made.
 2. ``examined``: a document's anchors are extended to all windows around them, and each
-   window gets a 128-bit digest of its words.
+   window gets a 96-bit digest of its words.
 3. ``repeats``: the least document of every such window, found in buckets again. Adjoining
    windows that repeat are the maximal exact repeats, whichever document they stem from.
 
@@ -35,6 +35,8 @@ LONG = 4096
 HELD = 1 << 20
 #: Bits of a rolling hash that are sent beside its bucket.
 BITS = 40
+#: Bytes of a window's digest.
+DIGEST = 12
 #: Buckets for each shuffle partition: a partition's share evens out.
 SHARE = 4
 
@@ -106,7 +108,7 @@ def block_values(words: list[bytes], block: int, buckets: int) -> np.ndarray:
 class Sender:
     """Gathers (kind, document, values) and packs them into rows by bucket.
 
-    Values are numbers ``high``, and ``low`` where a value has 128 bits. Entries of kind 0
+    Values are numbers ``high``, and ``low`` where a value has 96 bits. Entries of kind 0
     (the index) are merged to the least document of each value first.
     """
 
@@ -149,7 +151,7 @@ class Sender:
             cells(docs[runs].astype("<i8").tobytes(), per * 8),
             cells(lengths.tobytes(), per * 4),
             cells(sent.tobytes(), cuts * width),
-            cells(low[order].astype("<u8").tobytes() if self.wide else b"", cuts * 8 if self.wide else cuts * 0),
+            cells(low[order].astype("<u4").tobytes() if self.wide else b"", cuts * 4 if self.wide else cuts * 0),
         ]
         return pa.RecordBatch.from_arrays(columns, ["bucket", "kind", "docs", "counts", "high", "low"])
 
@@ -182,7 +184,7 @@ class Bucket:
     def opened(self, row: dict) -> tuple[np.ndarray, np.ndarray | None, np.ndarray, np.ndarray]:
         docs, counts = np.frombuffer(row["docs"], "<i8"), np.frombuffer(row["counts"], "<u4")
         if self.wide:
-            return np.frombuffer(row["high"], "<u8"), np.frombuffer(row["low"], "<u8"), docs, counts
+            return np.frombuffer(row["high"], "<u8"), np.frombuffer(row["low"], "<u4"), docs, counts
         short = np.frombuffer(row["high"], "u1").reshape(-1, BITS // 8)
         full = np.zeros((len(short), 8), "u1")
         full[:, : BITS // 8] = short
@@ -233,9 +235,11 @@ class Bucket:
 
 
 def found_rows(docs: np.ndarray, counts: np.ndarray, high: np.ndarray, low: np.ndarray | None) -> pa.RecordBatch:
-    data = high if low is None else np.column_stack([high, low])
-    ends = np.concatenate([[0], np.cumsum(counts)]) * (8 if low is None else 16)
-    return pa.RecordBatch.from_arrays([pa.array(docs), cells(data.astype("<u8").tobytes(), ends)], ["doc", "found"])
+    data = high.astype("<u8")
+    if low is not None:
+        data = np.column_stack([data.view("<u4").reshape(-1, 2), low.astype("<u4")])
+    ends = np.concatenate([[0], np.cumsum(counts)]) * (8 if low is None else DIGEST)
+    return pa.RecordBatch.from_arrays([pa.array(docs), cells(data.tobytes(), ends)], ["doc", "found"])
 
 
 def meet(entries: DataFrame, wide: bool, with_first: bool) -> DataFrame:
@@ -308,6 +312,13 @@ def per_document(found: DataFrame) -> DataFrame:
     return found.groupBy(F.col("doc").alias("of")).agg(F.collect_list("found").alias("found"))
 
 
+def window_digests(joined: bytes, words: list[bytes], starts: np.ndarray, window: int) -> list[bytes]:
+    ends = np.cumsum([len(w) + 1 for w in words])
+    begin = np.concatenate([[0], ends])
+    spans = zip(begin[starts].tolist(), (ends[starts + window - 1] - 1).tolist())
+    return [xxhash.xxh3_128_digest(joined[a:b])[:DIGEST] for a, b in spans]
+
+
 EXAMINED = "doc bigint, n_words bigint, kept string, words binary, starts binary, digests binary"
 
 
@@ -338,10 +349,7 @@ def examined(df: DataFrame, hits: DataFrame, window: int, buckets: int, as_text:
                         rows.append((doc, len(words), kept_form(words, as_text), None, None, None))
                         continue
                     joined = b" ".join(words)
-                    ends = np.cumsum([len(w) + 1 for w in words])
-                    begin = np.concatenate([[0], ends])
-                    spans = zip(begin[starts].tolist(), (ends[starts + window - 1] - 1).tolist())
-                    digests = b"".join([xxhash.xxh3_128_digest(joined[a:b]) for a, b in spans])
+                    digests = b"".join(window_digests(joined, words, starts, window))
                     rows.append((doc, len(words), None, joined, starts.astype("<u4").tobytes(), digests))
                 kinds = [pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.binary()]
                 columns = [pa.array(c, k) for c, k in zip(zip(*rows), kinds)]
@@ -358,7 +366,8 @@ def repeats(found: DataFrame, buckets: int) -> DataFrame:
         sender = Sender(buckets, True)
         for batch in batches:
             for doc, digests in zip(batch.column(0), batch.column(1)):
-                values = np.unique(np.frombuffer(digests.as_py(), "<u8").reshape(-1, 2), axis=0)
+                parts = np.frombuffer(digests.as_py(), "<u4").reshape(-1, 3).astype("u8")
+                values = np.unique(np.column_stack([parts[:, 1] << np.uint64(32) | parts[:, 0], parts[:, 2]]), axis=0)
                 sender.add(0, doc.as_py(), values)
                 sender.add(1, doc.as_py(), values)
                 if sender.size >= HELD:
@@ -385,13 +394,14 @@ def cut(found: DataFrame, repeated: DataFrame, window: int, as_text: bool, key:
     )
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.string()]
 
-    def one(n: int, kept: str | None, joined: bytes | None, starts: bytes | None, digests: bytes | None, gone: list | None) -> tuple:
+    def one(n: int, kept: str | None, joined: bytes | None, starts: bytes | None, gone: list | None) -> tuple:
         if joined is None:
             return n, 0, [], kept
         words = joined.split()
-        bad = {d[i : i + 16] for d in gone or () for i in range(0, len(d), 16)}
-        hit = [digests[i : i + 16] in bad for i in range(0, len(digests), 16)]
-        at = np.frombuffer(starts, "<u4").astype("i8")[np.array(hit, bool)]
+        bad = {d[i : i + DIGEST] for d in gone or () for i in range(0, len(d), DIGEST)}
+        at = np.frombuffer(starts, "<u4").astype("i8")
+        # digests made again: they would be a third of what the join moves
+        at = at[np.array([d in bad for d in window_digests(joined, words, at, window)], bool)] if bad else at[:0]
         steps = np.zeros(n + 1, "i8")
         np.add.at(steps, at, 1)
         np.add.at(steps, at + window, -1)
@@ -407,8 +417,8 @@ def cut(found: DataFrame, repeated: DataFrame, window: int, as_text: bool, key:
                 rows = [(d, *one(*r)) for d, *r in zip(*(c.to_pylist() for c in batch.slice(at, 256).columns))]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], schema.names)
 
-    joined = found.join(per_document(repeated), F.col("doc") == F.col("of"), "left")
-    return joined.select("doc", "n_words", "kept", "words", "starts", "digests", "found").mapInArrow(run, schema)
+    joined = found.drop("digests").join(per_document(repeated), F.col("doc") == F.col("of"), "left")
+    return joined.select("doc", "n_words", "kept", "words", "starts", "found").mapInArrow(run, schema)
 
 
 def without_repeats(
