@@ -22,13 +22,14 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, partial
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F, types as T
 
@@ -47,12 +48,18 @@ HELD = 1 << 21
 PIECE = 1 << 16
 
 
-class Aligned(NamedTuple):
-    n_a: int
-    n_b: int
-    n_groups: int
-    pairs: tuple[int, ...]  # A id << 32 | B id of each link
-    groups: str
+FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+
+
+class Runs(NamedTuple):
+    """Alignments of runs: ``pairs`` of run i lie before ``ends[i]``. Runs that cannot be
+    aligned have ``good`` False, no links and an empty text."""
+
+    good: np.ndarray
+    figures: np.ndarray  # the first four of FIGURES
+    pairs: np.ndarray  # A id << 32 | B id of each link
+    ends: np.ndarray
+    groups: list[str]
 
 
 class Aligner:
@@ -66,47 +73,77 @@ class Aligner:
         with open(ranks, "rb") as file:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.a = tiktoken.Encoding("aligned", pat_str=PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
-        self.bytes_a = {i: b for b, i in table.items()}
+        bytes_a = [b""] * (max(table.values()) + 1)
+        for token, i in table.items():
+            bytes_a[i] = token
         pieces = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.b = pieces.encode
+        self.b = partial(pieces.encode, num_threads=1)
         names = [pieces.id_to_piece(i) for i in range(pieces.vocab_size())]
-        self.bytes_b = [
+        bytes_b = [
             bytes([int(name[3:5], 16)]) if pieces.is_byte(i) else name.replace("▁", " ").encode()
             for i, name in enumerate(names)
         ]
+        self.bytes = bytes_a, bytes_b
+        self.lengths = [np.array([len(t) for t in side], "i8") for side in self.bytes]
+        self.names = [np.array([str(i) for i in range(len(side))], object) for side in self.bytes]
         # no piece goes on over a space, so no merge does
-        self.by_run = not any(" " in piece.decode("utf-8", "replace").lstrip(" ") for piece in self.bytes_b)
-
-    def align(self, text: str) -> Aligned | None:
-        """``space + text``; None where the tokens' bytes are not those of the text."""
-        a, b = self.a(" " + text), self.b(text)
-        parts_a, parts_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        whole = b" " + text.encode()
-        if not text or b"".join(parts_a) != whole or b"".join(parts_b) != whole:
-            return None
-        pairs, groups = [], []
-        i = j = from_i = from_j = 0
-        end_a, end_b = len(parts_a[0]), len(parts_b[0])
-        while True:
-            pairs.append(a[i] << 32 | b[j])
-            if end_a < end_b:
-                i += 1
-                end_a += len(parts_a[i])
-            elif end_b < end_a:
-                j += 1
-                end_b += len(parts_b[j])
-            else:
-                i, j = i + 1, j + 1
-                groups.append(f"{','.join(map(str, a[from_i:i]))}|{','.join(map(str, b[from_j:j]))}")
-                if i == len(a) or j == len(b):
-                    return Aligned(len(a), len(b), len(groups), tuple(pairs), ";".join(groups))
-                from_i, from_j = i, j
-                end_a, end_b = end_a + len(parts_a[i]), end_b + len(parts_b[j])
+        self.by_run = not any(" " in piece.decode("utf-8", "replace").lstrip(" ") for piece in bytes_b)
 
     def runs(self, text: str) -> list[str]:
         """Parts that are aligned each for itself."""
         return [text] if not self.by_run or UNEVEN(text) else text.split(" ")
 
+    def align(self, runs: list[str]) -> Runs:
+        """``space + run`` for each of the runs, none of them empty.
+
+        The good runs are put one after the other: the ends of a run are common ends, so the
+        alignment of all is that of each.
+        """
+        both = [self.a(" " + run) for run in runs], self.b(runs)
+        good = np.ones(len(runs), bool)
+        counts = [np.array([len(ids) for ids in side], "i8") for side in both]
+        ids = [np.fromiter(chain.from_iterable(side), "i8", int(n.sum())) for side, n in zip(both, counts)]
+        joined = ["".join(" " + run for run in runs).encode()]
+        sizes = [np.array([len(run.encode()) + 1 for run in runs], "i8")]
+        for own, n, known, lengths in zip(ids, counts, self.bytes, self.lengths):
+            joined.append(b"".join([known[i] for i in own.tolist()]))
+            sums, tails = np.concatenate([[0], np.cumsum(lengths[own])]), np.cumsum(n)
+            sizes.append(sums[tails] - sums[tails - n])
+        if not (joined[0] == joined[1] == joined[2] and (sizes[0] == sizes[1]).all() and (sizes[0] == sizes[2]).all()):
+            for at, run in enumerate(runs):
+                made = [b"".join([known[i] for i in side[at]]) for side, known in zip(both, self.bytes)]
+                good[at] = made[0] == made[1] == b" " + run.encode()
+            ids = [own[np.repeat(good, n)] for own, n in zip(ids, counts)]
+            counts = [n[good] for n in counts]
+        places = np.flatnonzero(good)
+        figures, texts = np.zeros((len(runs), 4), "i8"), [""] * len(runs)
+        if not len(places):
+            return Runs(good, figures, np.zeros(0, "i8"), np.zeros(len(runs), "i8"), texts)
+
+        ends = [np.cumsum(lengths[own]) for lengths, own in zip(self.lengths, ids)]
+        first = np.searchsorted(ends[1], ends[0] - self.lengths[0][ids[0]], "right")
+        last = np.searchsorted(ends[1], ends[0], "left")
+        links = last - first + 1  # B tokens that overlap each A token
+        before = np.cumsum(links) - links
+        partner = np.arange(int(links.sum())) - np.repeat(before - first, links)
+        pairs = np.repeat(ids[0], links) << 32 | ids[1][partner]
+        common = ends[1][last] == ends[0]  # A tokens that end a group
+        tails = [np.cumsum(n) for n in counts]
+        of_run = [np.add.reduceat(v, tails[0] - counts[0]) for v in (common.astype("i8"), links)]
+        figures[places] = np.column_stack([*counts, *of_run])
+
+        # a text per run: the tokens of a group, A before B, each with what follows it
+        closes = [common, np.isin(ends[1], ends[0][common])]
+        group = [np.cumsum(c) - c for c in closes]
+        order = np.lexsort((np.repeat([0, 1], [len(g) for g in group]), np.concatenate(group)))
+        marks = [np.where(c, mark, ",") for c, mark in zip(closes, ("|", ";"))]
+        named = np.concatenate([names[own] + m.astype(object) for names, own, m in zip(self.names, ids, marks)])[order]
+        cut = np.cumsum(counts[0] + counts[1])
+        flat = named.tolist()
+        for place, a, b in zip(places.tolist(), [0, *cut.tolist()], cut.tolist()):
+            texts[place] = "".join(flat[a:b])[:-1]
+        return Runs(good, figures, pairs, np.cumsum(figures[:, 3]), texts)
+
 
 @lru_cache(maxsize=2)
 def aligner(ranks: str, model: str) -> Aligner:
@@ -114,7 +151,11 @@ def aligner(ranks: str, model: str) -> Aligner:
 
 
 class Remembered:
-    """Figures of runs by number: a table that starts anew when it holds too many bytes."""
+    """Figures of runs by number, for a few texts at a time.
+
+    ``full`` tells that the tables hold more than ``bound`` bytes; ``clear`` starts them anew.
+    With a ``table`` the counts of links are looked up, else ``pairs`` are kept.
+    """
 
     def __init__(self, own: Aligner, table: Table | None = None, bound: int = MEMO_BYTES):
         self.own, self.table, self.bound = own, table, bound
@@ -122,47 +163,70 @@ class Remembered:
 
     def clear(self) -> None:
         self.numbers: dict[str, int] = {}
-        self.entries: list[Aligned | None] = []
         self.texts: list[str] = []
-        self.figures = np.zeros((1024, 6), "i8")
-        self.size = 0
-
-    def number(self, run: str) -> int:
-        """The run's place in the tables; -1 if it cannot be aligned."""
-        made = self.own.align(run)
-        at = -1
-        if made is not None:
-            at = len(self.texts)
-            self.texts.append(made.groups)
-            self.entries.append(made if self.table is None else None)
-            if at == len(self.figures):
-                self.figures = np.concatenate([self.figures, np.zeros_like(self.figures)])
-            best = total = 0
-            if self.table is not None:
-                counts, tops = self.table.look_up(np.array(made.pairs, "u8"))
-                best, total = int(tops.sum()), int(counts.sum())
-            self.figures[at] = (made.n_a, made.n_b, made.n_groups, len(made.pairs), best, total)
-            self.size += 400 + len(run) + len(made.groups) + 40 * len(made.pairs) * (self.table is None)
-        if len(run) <= LONGEST:
-            self.numbers[run] = at
-        return at
-
-    def of(self, text: str | None) -> list[int]:
-        """Numbers of the text's runs; empty for a text without tokens."""
-        if not text:
-            return []
-        if self.size > self.bound:
-            self.clear()
-        known, out = self.numbers.get, []
-        for run in self.own.runs(text):
-            at = known(run)
-            if at is None:
-                at = self.number(run)
-            if at < 0:
-                return []
-            out.append(at)
+        self.figures: list[np.ndarray] = []
+        self.pairs: list[np.ndarray] = []
+        self.size = self.count = 0
+
+    @property
+    def full(self) -> bool:
+        return self.size > self.bound
+
+    def learn(self, runs: list[str]) -> None:
+        made = self.own.align(runs)
+        figures = np.zeros((len(runs), len(FIGURES)), "i8")
+        figures[:, :4] = made.figures
+        if self.table is not None:
+            sums = [np.concatenate([[0], np.cumsum(v)]) for v in self.table.look_up(made.pairs.astype("u8"))[::-1]]
+            figures[:, 4], figures[:, 5] = (s[made.ends] - s[made.ends - made.figures[:, 3]] for s in sums)
+            self.texts += made.groups
+        else:
+            self.pairs.append(made.pairs)
+        self.numbers.update((r, self.count + i if g else -1) for i, (r, g) in enumerate(zip(runs, made.good.tolist())))
+        self.figures.append(figures)
+        self.count += len(runs)
+        self.size += 300 * len(runs) + sum(map(len, runs)) + (sum(map(len, made.groups)) if self.table else 8 * len(made.pairs))
+
+    def of(self, texts: list[str | None]) -> list[list[int]]:
+        """Numbers of each text's runs; none for a text without tokens."""
+        runs = [self.own.runs(text) if text else [] for text in texts]
+        new = list({r for own in runs for r in own if r not in self.numbers})
+        if new:
+            self.learn(new)
+        out = [list(map(self.numbers.__getitem__, own)) for own in runs]
+        for run in new:
+            if len(run) > LONGEST:
+                del self.numbers[run]
+        return [[] if own and min(own) < 0 else own for own in out]
+
+    def sums(self, numbers: list[list[int]]) -> np.ndarray:
+        """The figures of each text."""
+        self.figures = [np.concatenate(self.figures)] if self.figures else [np.zeros((0, len(FIGURES)), "i8")]
+        out = np.zeros((len(numbers), len(FIGURES)), "i8")
+        for row, own in enumerate(numbers):
+            if own:
+                out[row] = self.figures[0][own].sum(0)
         return out
 
+    def links(self, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs and their counts, where run i came up ``times[i]`` times."""
+        if not self.pairs:
+            return np.zeros(0, "i8"), np.zeros(0, "i8")
+        figures = np.concatenate(self.figures)
+        return np.concatenate(self.pairs), np.repeat(times, figures[:, 3])
+
+
+def slices(texts: pa.Array, most: int = 2 << 20) -> Iterator[pa.Array]:
+    """Parts of a column of at most ``most`` bytes; a longer text is a part of its own."""
+    first = held = 0
+    for at, size in enumerate(pc.fill_null(pc.binary_length(texts), 0).to_pylist()):
+        if at > first and held + size > most:
+            yield texts.slice(first, at - first)
+            first, held = at, 0
+        held += size
+    if first < len(texts):
+        yield texts.slice(first)
+
 
 # --- minimal perfect hash --------------------------------------------------------
 
@@ -254,29 +318,32 @@ def observed(df: DataFrame, ranks: str, model: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Remembered(aligner(ranks, model))
-        pairs, counts = np.zeros(0, "i8"), np.zeros(0, "i8")
+        pairs, counts, times = (np.zeros(0, "i8") for _ in range(3))
+
+        def added() -> tuple[np.ndarray, np.ndarray]:
+            more, n = memo.links(times)
+            keys, place = np.unique(np.concatenate([pairs, more]), return_inverse=True)
+            sums = np.zeros(len(keys), "i8")
+            np.add.at(sums, place, np.concatenate([counts, n]))
+            return keys[sums > 0], sums[sums > 0]
 
         def sent() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(pairs & 0xFFFFFFFF), pa.array(counts)], ["pair", "b", "n"])
 
-        def added(runs: Counter) -> tuple[np.ndarray, np.ndarray]:
-            own = [memo.entries[at].pairs for at in runs]
-            times = np.repeat(np.fromiter(runs.values(), "i8", len(runs)), [len(p) for p in own])
-            flat = np.fromiter((p for part in own for p in part), "i8", len(times))
-            keys, place = np.unique(np.concatenate([pairs, flat]), return_inverse=True)
-            return keys, np.bincount(place, np.concatenate([counts, times]), len(keys)).astype("i8")
-
         for batch in batches:
-            runs: Counter = Counter()
-            for text in batch.column(0):
-                if memo.size > memo.bound:  # numbers of runs change
-                    pairs, counts = added(runs)
-                    runs.clear()
-                runs.update(memo.of(text.as_py()))
-            pairs, counts = added(runs)
-            if len(pairs) >= HELD:
-                yield sent()
-                pairs, counts = pairs[:0], counts[:0]
+            for part in slices(batch.column(0)):
+                numbers = [n for own in memo.of(part.to_pylist()) for n in own]
+                seen = np.bincount(np.array(numbers, "i8"), minlength=memo.count)
+                seen[: len(times)] += times
+                times = seen
+                if memo.full:
+                    pairs, counts = added()
+                    memo.clear()
+                    times = times[:0]
+                    if len(pairs) >= HELD:
+                        yield sent()
+                        pairs, counts = pairs[:0], counts[:0]
+        pairs, counts = added()
         yield sent()
 
     return df.select("text").mapInArrow(run, "pair bigint, b bigint, n bigint")
@@ -380,8 +447,6 @@ def tables(df: DataFrame, ranks: str, model: str, part_pairs: int) -> list[tuple
 
 # --- second pass -----------------------------------------------------------------
 
-FIGURES = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
-
 
 def looked_up(df: DataFrame, table: tuple | None, ranks: str, model: str, as_text: bool, add: bool) -> DataFrame:
     """``df`` with the figures of its texts; ``add`` adds one more part's counts to them."""
@@ -394,14 +459,16 @@ def looked_up(df: DataFrame, table: tuple | None, ranks: str, model: str, as_tex
         memo = Remembered(aligner(ranks, model), Table(*sent.value))
         text_at = [f.name for f in keep].index("text")
         for batch in batches:
-            figures, groups = np.zeros((batch.num_rows, len(FIGURES)), "i8"), []
-            for row, text in enumerate(batch.column(text_at)):
-                at = memo.of(text.as_py())
-                if at:
-                    figures[row] = memo.figures[at].sum(0)
-                if not add:
-                    joined = ";".join([memo.texts[i] for i in at])
+            sums, groups = [], []
+            for part in slices(batch.column(text_at)):
+                numbers = memo.of(part.to_pylist())
+                sums.append(memo.sums(numbers))
+                for own in numbers if not add else ():
+                    joined = ";".join([memo.texts[i] for i in own])
                     groups.append(joined if as_text or not joined else hashlib.sha256(joined.encode()).hexdigest())
+                if memo.full:
+                    memo.clear()
+            figures = np.concatenate(sums) if sums else np.zeros((0, len(FIGURES)), "i8")
             made = [pa.array(figures[:, i]) for i in range(len(FIGURES))]
             if add:
                 old = batch.columns[len(keep) :]

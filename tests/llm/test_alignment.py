@@ -100,13 +100,11 @@ def test_runs_equal_the_whole_text():
     words = [w for t in fuzz(600) for w in t.split()] + ["don't", "WE'LL", "x1", "'s", "...", "ﬁn", "漢"]
     for _ in range(400):
         text = " ".join(rng.choices(words, k=rng.randint(1, 12)))
-        parts = [own.align(run) for run in own.runs(text)]
-        whole = own.align(text)
-        if None in parts:
-            assert whole is None, repr(text)
-        else:
-            assert whole.groups == ";".join(p.groups for p in parts), repr(text)
-            assert whole.pairs == tuple(x for p in parts for x in p.pairs)
+        parts, whole = own.align(own.runs(text)), own.align([text])
+        assert parts.good.all() == whole.good.all(), repr(text)
+        if whole.good.all():
+            assert ";".join(parts.groups) == whole.groups[0], repr(text)
+            assert parts.pairs.tolist() == whole.pairs.tolist() and parts.ends[-1] == len(parts.pairs)
     assert own.by_run and len(own.runs("a b")) == 2 and len(own.runs("a  b")) == 1
 
 
@@ -126,10 +124,12 @@ def test_perfect_hash(n):
 def test_memory_of_runs_is_bounded():
     memo = alignment.Remembered(alignment.aligner(BYTE_RANKS, PIECES), bound=20_000)
     for i in range(500):
-        assert memo.of(f"run{i} again") and memo.size < 22_000
-    assert len(memo.numbers) < 60
-    memo.of("z" * 100 + " q")
-    assert "z" * 100 not in memo.numbers
+        assert memo.of([f"run{i} again", None, "z" * 100 + " q"])[1] == []
+        assert "z" * 100 not in memo.numbers and len(memo.numbers) < 100
+        if memo.full:
+            memo.clear()
+    parts = list(alignment.slices(alignment.pa.array(["a" * 9, None, "b", "c" * 30, "d"]), 10))
+    assert [len(p) for p in parts] == [3, 1, 1]
 
 
 def test_odd_rows(odd_docs, no_docs):
