@@ -205,8 +205,8 @@ class Builder:
             top = np.full((label[-1] + 1) * columns, -1)
             np.maximum.at(top, np.repeat(label, rest) * columns + term[places] - t, impact[places])
             held = np.flatnonzero(top >= 0)
-            cols.append(held % columns + t)
-            maxima.append(top[held])
+            cols.append((held % columns + t).astype("u4"))
+            maxima.append(top[held].astype("u4"))
             widths.append(np.bincount(held // columns, minlength=label[-1] + 1))
             of_list.append(label[-1] + 1)
         flat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, "i8")
@@ -386,8 +386,8 @@ def top_documents(
     item_key: str = "item_id",
     item_text: str = "text",
     set_bytes: int = 8 << 20,
-    shard_docs: int = 4096,
-    shard_terms: int = 1 << 20,
+    shard_docs: int = 2048,
+    shard_terms: int = 1 << 19,
     block: int = 256,
 ) -> DataFrame:
     """``item_key, rank, key, score``: the ``k`` best documents above 0 for every item.
