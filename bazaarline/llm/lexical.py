@@ -5,10 +5,11 @@ largest weight to the smallest. For one set:
 
 * ``forward``: one row per document with its length and its query terms. Document counts
   and lengths of the whole corpus are sums over it.
-* ``build``: documents of a task go to shards of bounded size, one stored row each. In a
-  shard the posting list of every term is clustered by document similarity, and each
-  cluster (block) keeps the coordinatewise maximum of its documents' impacts.
-* ``search``: terms of a query in order of falling weight. A document of the list at hand
+* ``Builder``: documents of a task go to shards of bounded size. In a shard the posting list
+  of every term is clustered by document similarity, and each cluster (block) stores the
+  coordinatewise maximum of its documents' impacts. A shard lives in its task: its blocks hold
+  for one vocabulary, and written out they would be larger than the documents' terms.
+* ``Shard.search``: terms of a query in order of falling weight. A document of the list at hand
   that holds an earlier term was met before, so the maxima of the terms that are left bound
   what a block can add. A block is skipped only if that bound is below the k-th score found
   so far; else its documents are scored exactly. All arithmetic is on integers.
@@ -29,9 +30,8 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..functions.staging import new_path, stage
+from ..functions.staging import stage
 from .names import fresh
-from .tidy import settings
 
 #: Bytes that divide terms become spaces; only A-Z are lower-cased.
 TERMS = bytes(
@@ -162,7 +162,7 @@ def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 class Builder:
-    """Turns documents into the stored row of a shard."""
+    """Turns documents into the arrays of a shard."""
 
     def __init__(self, weights: Weights, block: int):
         self.number = np.array(weights.number, "i8")
@@ -173,7 +173,7 @@ class Builder:
         m = 50 + 50 * n * self.weights.documents // self.weights.length
         return 1_000_000_000 * tf // (1000 * tf + 20 * m)
 
-    def build(self, n: list[int], ids: list[bytes], tfs: list[bytes]) -> dict[str, bytes]:
+    def build(self, n: list[int], ids: list[bytes], tfs: list[bytes]) -> dict[str, np.ndarray]:
         counts = np.array([len(i) // 4 for i in ids], "i8")
         doc = np.repeat(np.arange(len(ids)), counts)
         term = self.number[np.frombuffer(b"".join(ids), "<u4")]
@@ -210,10 +210,10 @@ class Builder:
             widths.append(np.bincount(held // columns, minlength=label[-1] + 1))
             of_list.append(label[-1] + 1)
         flat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, "i8")
-        arrays = {
+        return {
             "first": np.append(first, ends[-1] if len(ends) else 0),
-            "terms": term,
-            "impacts": impact,
+            "terms": term.astype("u4"),
+            "impacts": impact.astype("u4"),
             "lists": lists,
             "of_list": np.array(of_list),
             "sizes": flat(sizes),
@@ -222,7 +222,6 @@ class Builder:
             "cols": flat(cols),
             "maxima": flat(maxima),
         }
-        return {name: a.astype("<u4").tobytes() for name, a in arrays.items()}
 
     def clusters(self, vectors: np.ndarray) -> np.ndarray:
         """The most similar of evenly drawn members, for every document of a list."""
@@ -233,58 +232,11 @@ class Builder:
         return np.argmax(vectors @ centres.T, axis=1)
 
 
-PARTS = ("first", "terms", "impacts", "lists", "of_list", "sizes", "members", "widths", "cols", "maxima")
-
-
-def build(rows: DataFrame, weights: Weights, shard_docs: int, shard_terms: int, block: int) -> DataFrame:
-    """One row per shard: ``shard, docs`` in ascending order (nulls last) and the packed index.
-
-    A shard closes at ``shard_docs`` documents or ``shard_terms`` postings. Documents without
-    a query term are left out: they score 0.
-    """
-    spark = rows.sparkSession
-    kind = rows.schema["doc"].dataType
-    sent = spark.sparkContext.broadcast(weights)
-    fields = [T.StructField("shard", T.LongType()), T.StructField("docs", T.ArrayType(kind))]
-    schema = T.StructType(fields + [T.StructField(p, T.BinaryType()) for p in PARTS])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, task, number = Builder(sent.value, block), TaskContext.get().partitionId(), 0
-        held: list[pa.RecordBatch] = []
-        docs = postings = 0
-
-        def close() -> pa.RecordBatch:
-            table = pa.Table.from_batches(held)
-            order = pc.sort_indices(table.column(0), null_placement="at_end")
-            table = table.take(order)
-            packed = made.build(*(table.column(i).to_pylist() for i in (1, 2, 3)))
-            keys = table.column(0).combine_chunks()
-            listed = pa.ListArray.from_arrays(pa.array([0, len(keys)], pa.int32()), keys)
-            values = [pa.array([task << 32 | number]), listed, *(pa.array([packed[p]], pa.binary()) for p in PARTS)]
-            return pa.RecordBatch.from_arrays(values, schema.names)
-
-        for batch in batches:
-            at = 0
-            while at < batch.num_rows:
-                part = batch.slice(at, max(1, min(256, shard_docs - docs)))
-                held.append(part)
-                docs, at = docs + part.num_rows, at + part.num_rows
-                postings += pc.sum(pc.binary_length(part.column(2))).as_py() // 4
-                if docs >= shard_docs or postings >= shard_terms:
-                    yield close()
-                    held, docs, postings, number = [], 0, 0, number + 1
-        if held:
-            yield close()
-
-    return rows.where(F.octet_length("ids") > 0).mapInArrow(run, schema)
-
-
 class Shard:
-    """A stored shard, opened for queries."""
+    """A shard, open for queries."""
 
-    def __init__(self, row: dict, size: int):
-        a = {p: np.frombuffer(row[p], "<u4") for p in PARTS}
-        self.first, self.terms, self.impacts = a["first"].astype("i8"), a["terms"], a["impacts"]
+    def __init__(self, a: dict[str, np.ndarray], size: int):
+        self.first, self.terms, self.impacts = a["first"], a["terms"], a["impacts"]
         self.members, self.cols, self.maxima = a["members"], a["cols"], a["maxima"]
         ends = lambda p: np.concatenate([[0], np.cumsum(a[p], dtype="i8")])
         self.starts, self.rows, blocks = ends("sizes"), ends("widths"), ends("of_list")  # rows: of summaries
@@ -333,37 +285,57 @@ class Shard:
         return docs[best], scores[best], bar
 
 
-def search(index: DataFrame, queries: Queries, weights: Weights, k: int) -> DataFrame:
-    """``query`` (place in the set), ``doc, score, shard``: the ``k`` best of every shard."""
-    spark = index.sparkSession
+def search(rows: DataFrame, queries: Queries, weights: Weights, k: int, shard_docs: int, shard_terms: int, block: int) -> DataFrame:
+    """``query`` (place in the set), ``doc, score, shard``: the ``k`` best of every shard.
+
+    A shard closes at ``shard_docs`` documents or ``shard_terms`` postings; its documents are in
+    ascending order, nulls last. Documents without a query term score 0 and are left out.
+    """
+    spark = rows.sparkSession
     number = dict(zip(queries.vocabulary, weights.number))
     asked = [sorted(number[t] for t in own) for own in queries.terms]
-    sent = spark.sparkContext.broadcast((asked, weights.weight))
-    kind = index.schema["docs"].dataType.elementType
+    sent = spark.sparkContext.broadcast((asked, weights))
     schema = T.StructType(
         [
             T.StructField("query", T.LongType()),
-            T.StructField("doc", kind),
+            rows.schema["doc"],
             T.StructField("score", T.LongType()),
             T.StructField("shard", T.LongType()),
         ]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked, weight = sent.value
+        asked, weights = sent.value
+        made, weight, name = Builder(weights, block), weights.weight, TaskContext.get().partitionId() << 32
         bars = [0] * len(asked)  # a k-th score of one shard holds for the next
+        held: list[pa.RecordBatch] = []
+        docs = postings = 0
+
+        def close() -> Iterator[pa.RecordBatch]:
+            table = pa.Table.from_batches(held)
+            table = table.take(pc.sort_indices(table.column(0), null_placement="at_end"))
+            shard = Shard(made.build(*(table.column(i).to_pylist() for i in (1, 2, 3))), len(weight))
+            keys = table.column(0).combine_chunks()
+            for q, terms in enumerate(asked):
+                found, scores, bars[q] = shard.search(terms, [weight[t] for t in terms], k, bars[q])
+                if len(found):
+                    own, part = (pa.array(np.full(len(found), v, "i8")) for v in (q, name))
+                    yield pa.RecordBatch.from_arrays([own, keys.take(pa.array(found)), pa.array(scores), part], schema.names)
+
         for batch in batches:
-            for at in range(batch.num_rows):
-                shard = Shard({p: batch.column(p)[at].as_buffer() for p in PARTS}, len(weight))
-                keys = batch.column("docs")[at].values
-                for q, terms in enumerate(asked):
-                    docs, scores, bars[q] = shard.search(terms, [weight[t] for t in terms], k, bars[q])
-                    if len(docs):
-                        own = pa.array(np.full(len(docs), q, "i8"))
-                        name = pa.array(np.full(len(docs), batch.column("shard")[at].as_py(), "i8"))
-                        yield pa.RecordBatch.from_arrays([own, keys.take(pa.array(docs)), pa.array(scores), name], schema.names)
+            at = 0
+            while at < batch.num_rows:
+                part = batch.slice(at, max(1, min(256, shard_docs - docs)))
+                held.append(part)
+                docs, at = docs + part.num_rows, at + part.num_rows
+                postings += pc.sum(pc.binary_length(part.column(2))).as_py() // 4
+                if docs >= shard_docs or postings >= shard_terms:
+                    yield from close()
+                    held, docs, postings, name = [], 0, 0, name + 1
+        if held:
+            yield from close()
 
-    return index.mapInArrow(run, schema)
+    return rows.where(F.octet_length("ids") > 0).mapInArrow(run, schema)
 
 
 def ranked(found: DataFrame, k: int, groups: int = 256) -> DataFrame:
@@ -415,12 +387,7 @@ def top_documents(
         vocabulary = queries.vocabulary
         held = stage(forward(rows, vocabulary), "forward")
         weights = weigh(held, len(vocabulary))
-        path = new_path(spark, "index")
-        made = build(held, weights, shard_docs, shard_terms, block)
-        made.write.option("parquet.block.size", 16 << 20).parquet(path)  # a reader holds one group at a time
-        index = spark.read.schema(made.schema).parquet(path)
-        with settings(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": "1"}):  # a row is a whole shard
-            best = stage(ranked(search(index, queries, weights, k), k), "ranked")
+        best = stage(ranked(search(held, queries, weights, k, shard_docs, shard_terms, block), k), "ranked")
         names = T.StructType([T.StructField("own", T.LongType()), T.StructField("item", schema[0].dataType)])
         asked = spark.createDataFrame(list(enumerate(queries.ids)), names)
         made = best.join(asked, F.col("query") == F.col("own"))

@@ -85,8 +85,9 @@ def test_blocks_are_skipped(spark):
     frame = spark.createDataFrame(list(enumerate(docs)), "doc long, text string").coalesce(1)
     held = lexical.forward(frame, vocabulary)
     weights = lexical.weigh(held, len(vocabulary))
-    [row] = lexical.build(held, weights, 8192, 1 << 22, 64).collect()
-    shard = lexical.Shard(row.asDict(), len(vocabulary))
+    rows = held.orderBy("doc").collect()
+    arrays = lexical.Builder(weights, 64).build([r.n for r in rows], [bytes(r.ids) for r in rows], [bytes(r.tfs) for r in rows])
+    shard = lexical.Shard(arrays, len(vocabulary))
     number = dict(zip(vocabulary, weights.number))
     for own in queries.terms:
         asked = sorted(number[t] for t in own)
