@@ -328,6 +328,55 @@ def trend_sql(source: str, events: bool = False, name: str = "trend") -> str:
     return base
 
 
+def bends_sql(source: str, changes: int = 8, harmonics: int = 3, events: bool = False, logs: bool = True, name: str = "bent") -> str:
+    """Ridge regression of hinges and waves; the normal equations are solved by elimination."""
+    terms = ["1.0", "u"] + [f"greatest(u - {0.8 * (k + 1) / changes!r}, 0)" for k in range(changes)]
+    for h in range(1, harmonics + 1):
+        terms += [f"{f}((month(date) - 1) * 2 * pi() * {h} / 12)" for f in ("sin", "cos")]
+    if events:
+        terms += [f"({calendar('date', RAMADAN)})::DOUBLE", f"({holiday('date')})::DOUBLE"]
+    p = len(terms)
+    penalty = f"CASE WHEN i <> j OR i <= 2 THEN 0 WHEN i <= {2 + changes} THEN 0.5 ELSE 0.1 END"
+    value, scale = ("ln(price)", "1.0") if logs else ("price", "max(abs(y))")
+    return f"""{name}_o AS (
+  SELECT {KEYS}, {MONTH} AS m, {value} AS y FROM {source} WHERE price IS NOT NULL {"AND price > 0" if logs else ""}),
+{name}_s AS (
+  SELECT product, region, min(m) AS t0, max(m) - min(m) AS span, {scale} AS scale, max(date) AS last_date
+  FROM {name}_o GROUP BY 1, 2 HAVING count(*) >= 24),
+{name}_x AS MATERIALIZED (
+  SELECT product, region, date, m, y, t0, span, scale, last_date, [{", ".join(terms)}] AS x
+  FROM (SELECT *, coalesce((m - t0)::DOUBLE / nullif(span, 0), 0) AS u FROM {name}_o JOIN {name}_s USING (product, region))),
+{name}_e AS MATERIALIZED (
+  SELECT product, region, i, j, sum(x[i] * CASE WHEN j <= {p} THEN x[j] ELSE y / scale END) + {penalty} AS v
+  FROM {name}_x, range(1, {p + 1}) AS a(i), range(1, {p + 2}) AS b(j) GROUP BY 1, 2, 3, 4),
+{name}_g AS (
+  SELECT 0 AS k, product, region, i, j, v FROM {name}_e
+  UNION ALL
+  SELECT k + 1, product, region, i, j, CASE WHEN i = k + 1 THEN kj / kk ELSE v - ik * kj / kk END
+  FROM (SELECT *, max(v) FILTER (i = k + 1 AND j = k + 1) OVER (PARTITION BY product, region) AS kk,
+               max(v) FILTER (j = k + 1) OVER (PARTITION BY product, region, i) AS ik,
+               max(v) FILTER (i = k + 1) OVER (PARTITION BY product, region, j) AS kj
+        FROM {name}_g WHERE k < {p})),
+{name}_b AS MATERIALIZED (
+  SELECT product, region, list(v ORDER BY i) AS beta FROM {name}_g WHERE k = {p} AND j = {p + 1} GROUP BY 1, 2),
+{name} AS MATERIALIZED (
+  SELECT product, region, any_value(t0) AS t0, any_value(span) AS span, any_value(scale) AS scale,
+         any_value(last_date) AS last_date, any_value(beta) AS beta, stddev_samp(y - scale * list_inner_product(x, beta)) AS sigma
+  FROM {name}_x JOIN {name}_b USING (product, region) GROUP BY 1, 2)"""
+
+
+def bent_values(changes: int = 8, harmonics: int = 3, day: str = "ds") -> str:
+    """The value of a day under the model ``bent``."""
+    u = f"coalesce(({MONTH.replace('date', day)} - t0)::DOUBLE / nullif(span, 0), 0)"
+    parts = ["beta[1]", f"beta[2] * {u}"]
+    parts += [f"beta[{3 + k}] * greatest({u} - {0.8 * (k + 1) / changes!r}, 0)" for k in range(changes)]
+    for h in range(1, harmonics + 1):
+        angle = f"(month({day}) - 1) * 2 * pi() * {h} / 12"
+        at = 2 + changes + 2 * h
+        parts += [f"beta[{at - 1}] * sin({angle})", f"beta[{at}] * cos({angle})"]
+    return f"scale * ({' + '.join(parts)})"
+
+
 def future(source: str, horizon: str) -> str:
     return f"""(SELECT *, (date_trunc('month', last_date) + to_months(step::INTEGER))::DATE AS ds
   FROM (SELECT *, unnest(range(1, ({horizon})::BIGINT + 1))::INTEGER AS step FROM {source}))"""
@@ -621,6 +670,30 @@ def oracle() -> dict[str, str]:
     q["forecast_seasonal_trend"] = f"WITH {gate}, {trend_sql('gated')}, {trend_ahead()} SELECT product, region, step, ds, {Y3} FROM trend_ahead"
     q["forecast_seasonal_events"] = f"""WITH {KNOWN}, later AS (SELECT product, region, (date + INTERVAL 300 MONTH)::DATE AS date, price FROM known),
       {gated("later")}, {trend_sql("gated")}, {trend_ahead("12", 1.64, True)} SELECT product, region, step, ds, {Y3} FROM trend_ahead"""
+    bent = f"{KNOWN}, {bends_sql('known')}"
+    total = " + ".join(f"abs(beta[{3 + k}])" for k in range(8))
+    q["forecast_changepoints"] = f"""WITH RECURSIVE {bent}, v AS (
+      SELECT product, region, step, ds, {bent_values()} AS v, 1.96 * sqrt(coalesce(sigma, 0) ** 2
+        + 2 * (scale * ({total}) / (8 * greatest(span, 1))) ** 2 * (8 / (0.8 * greatest(span, 1))) * (step * (step + 1) * (2 * step + 1) / 6)) AS r
+      FROM {future("bent", "12")})
+      SELECT product, region, step, ds, {s("exp(v)", 3)} AS yhat, {s("exp(v - r)", 3)} AS yhat_lower, {s("exp(v + r)", 3)} AS yhat_upper FROM v"""
+    q["trend_changes"] = f"""WITH RECURSIVE {KNOWN}, later AS (SELECT product, region, (date + INTERVAL 300 MONTH)::DATE AS date, price FROM known),
+      {bends_sql("later", 4, 2, True, False)}
+      SELECT product, region, n::INTEGER AS number, make_date(((mm - 1) // 12)::BIGINT, ((mm - 1) % 12 + 1)::BIGINT, 1) AS month,
+             {s("per * beta[2 + n]", 3)} AS change, {s("per * list_sum(beta[2:2 + n])", 3)} AS slope
+      FROM (SELECT *, scale / greatest(span, 1) AS per, (t0 + floor(span * (0.8 * n / 4)))::BIGINT AS mm FROM bent, range(1, 5) AS r(n))"""
+    q["evaluate_changepoints"] = f"""WITH RECURSIVE {KNOWN},
+      cut AS (SELECT *, row_number() OVER ({O}) <= floor(count(*) OVER ({G}) * 0.8) AS seen FROM known),
+      train AS (SELECT * FROM cut WHERE seen), {bends_sql("train")}, {trend_sql("train")},
+      factors AS (SELECT product, region, m, factor FROM trend_s),
+      judged AS (
+        SELECT c.product, c.region, c.date, c.price, exp({bent_values(day="c.date").replace("t0)", "bent.t0)")}) AS bent,
+               (a + b * ({MONTH.replace("date", "c.date")} - l.t0)) * coalesce(factor, 1) AS line
+        FROM cut c JOIN bent USING (product, region)
+        JOIN (SELECT product, region, t0 AS t0, a, b FROM trend) l ON l.product = c.product AND l.region = c.region
+        LEFT JOIN factors f ON f.product = c.product AND f.region = c.region AND f.m = month(c.date) WHERE NOT seen)
+      SELECT product, region, {s("avg(abs(bent - price))", 3)} AS mae_bent, {s("avg(abs(line - price))", 3)} AS mae_line,
+             count(*) AS n_test FROM judged GROUP BY 1, 2"""
     q["forecast_autoregressive"] = f"WITH {gate}, {ar_sql('gated')} SELECT product, region, step, ds, {snap('yhat')} FROM ar_ahead"
     q["forecast_ensemble"] = f"""WITH {gate}, {ENSEMBLE} SELECT ds, {snap("trend_yhat", "ar_yhat", "ensemble_yhat", "yhat_lower", "yhat_upper")},
       product, region, step FROM ensemble"""

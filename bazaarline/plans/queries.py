@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.calendar import BOARD_RAMADAN, SEASONS_FR, add_temporal_features, is_ramadan, season
 from ..functions.scalars import format_price, signed_percent, snap
 from ..functions.staging import new_path, spread, stage
-from ..operators import analytics, anomaly, boundary, cleaning, features, forecast, isolation, window_model
+from ..operators import analytics, anomaly, boundary, changepoints, cleaning, features, forecast, isolation, window_model
 from ..sources import dimensions, readers, sinks
 from . import tables
 
@@ -561,6 +561,24 @@ def forecast_ensemble(spark, sf_dir):
     return snapped(forecast.forecast_ensemble(_known(spark, sf_dir)))
 
 
+@query
+def forecast_changepoints(spark, sf_dir):
+    return snapped(changepoints.forecast_changepoints(_known(spark, sf_dir)), 3)
+
+
+@query
+def trend_changes(spark, sf_dir):
+    """Additive, with the Ramadan and holiday terms, on years that the calendar covers."""
+    moved = _known(spark, sf_dir).withColumn("date", F.add_months("date", 300))
+    bends = changepoints.Bends(changes=4, harmonics=2, multiplicative=False, events=True)
+    return snapped(changepoints.trend_changes(changepoints.fit_changepoints(moved, bends), bends), 3)
+
+
+@query
+def evaluate_changepoints(spark, sf_dir):
+    return snapped(changepoints.evaluate_changepoints(_known(spark, sf_dir)), 3)
+
+
 @query
 def fit_gate(spark, sf_dir):
     return snapped(forecast.fit_gate(_known(spark, sf_dir), 80))
