@@ -116,7 +116,7 @@ def fit_detector(df: DataFrame, settings: Settings = Settings()) -> DataFrame:
     forest = fit_forest(
         scaled, GROUP, SCALED, day_label(), settings.trees, settings.seed, sizes="fit_rows"
     )
-    boundary = fit_boundary(scaled, GROUP, SCALED)
+    boundary = fit_boundary(scaled, GROUP, SCALED, nu=settings.nu)
     return stage(parameters.join(forest, GROUP).join(boundary, GROUP), "detector")
 
 

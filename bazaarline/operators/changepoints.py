@@ -36,7 +36,7 @@ class Bends:
     harmonics: int = 3
     multiplicative: bool = True
     events: bool = False
-    change_penalty: float = 0.5
+    change_penalty: float = 0.1
     season_penalty: float = 0.1
 
     @property
@@ -46,7 +46,8 @@ class Bends:
     @property
     def penalties(self) -> list[float]:
         seasonal = 2 * self.harmonics + (2 if self.events else 0)
-        return [0.0, 0.0] + [self.change_penalty] * self.changes + [self.season_penalty] * seasonal
+        # all prices in one month say nothing of a slope: it is 0 then
+        return [0.0, 1e-8] + [self.change_penalty] * self.changes + [self.season_penalty] * seasonal
 
     def terms(self, day: Column, u: Column) -> list[Column]:
         """The regressors of a day at time ``u``."""

@@ -336,7 +336,7 @@ def bends_sql(source: str, changes: int = 8, harmonics: int = 3, events: bool =
     if events:
         terms += [f"({calendar('date', RAMADAN)})::DOUBLE", f"({holiday('date')})::DOUBLE"]
     p = len(terms)
-    penalty = f"CASE WHEN i <> j OR i <= 2 THEN 0 WHEN i <= {2 + changes} THEN 0.5 ELSE 0.1 END"
+    penalty = "CASE WHEN i <> j OR i = 1 THEN 0 WHEN i = 2 THEN 1e-8 ELSE 0.1 END"
     value, scale = ("ln(price)", "1.0") if logs else ("price", "max(abs(y))")
     return f"""{name}_o AS (
   SELECT {KEYS}, {MONTH} AS m, {value} AS y FROM {source} WHERE price IS NOT NULL {"AND price > 0" if logs else ""}),

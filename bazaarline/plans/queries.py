@@ -414,6 +414,17 @@ def boundary_score(spark, sf_dir):
     return snapped(scored.select("product", "region", "date", "score"))
 
 
+@query
+def boundary_score_nu(spark, sf_dir):
+    """The one-class boundary that leaves about a twentieth of a series outside."""
+    rows = _training(spark, sf_dir)
+    solved = stage(boundary.fit_boundary(rows, anomaly.GROUP, anomaly.SCALED, nu=0.05), "boundary")
+    scored = boundary.add_similarity(spread(rows, *anomaly.GROUP), solved, anomaly.GROUP, anomaly.SCALED, "score")
+    marked = scored.join(solved.select(*anomaly.GROUP, "offset"), anomaly.GROUP)
+    outside = F.col("score") < F.col("offset") - boundary.MARGIN
+    return snapped(marked.select("product", "region", "date", "score", "offset", outside.alias("outside")), 3)
+
+
 @query
 def normalise_score(spark, sf_dir):
     rows = tables.known_panel(spark, sf_dir)

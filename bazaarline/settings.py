@@ -17,6 +17,7 @@ class Settings:
     window: int = 6
     trees: int = 100
     seed: int = 42
+    nu: float = 1.0
     trend_weight: float = 0.5
     ar_weight: float = 0.5
     interval: float = 0.95

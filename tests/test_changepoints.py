@@ -71,7 +71,7 @@ def test_better_than_a_line_where_the_trend_bends(spark):
     assert made["p2"].mae_bent < made["p2"].mae_line  # it bends where the last hinge is
     assert made["p3"].mae_bent < 0.06 * 240 and made["p3"].n_test == 20
     ahead = cp.forecast_changepoints(df, 6).where("product = 'p0'").orderBy("step").collect()
-    widths = [r.yhat_upper - r.yhat_lower for r in ahead]
+    widths = [r.yhat_upper / r.yhat_lower for r in ahead]
     assert all(r.yhat_lower < r.yhat < r.yhat_upper for r in ahead) and widths[-1] > widths[0]
 
 
