@@ -259,9 +259,11 @@ def product_correlation(df: DataFrame) -> DataFrame:
     a = means.select("date", F.col("product").alias("product_a"), F.col("price").alias("_a"))
     b = means.select("date", F.col("product").alias("product_b"), F.col("price").alias("_b"))
     pairs = a.join(b, "date").where(F.col("product_a") > F.col("product_b"))
+    both = F.col("_a").isNotNull() & F.col("_b").isNotNull()
+    # corr() divides by zero where a price doesn't vary
+    spread = F.stddev_pop(F.when(both, F.col("_a"))) * F.stddev_pop(F.when(both, F.col("_b")))
     return pairs.groupBy("product_a", "product_b").agg(
-        F.corr("_a", "_b").alias("correlation"),
-        F.count_if(F.col("_a").isNotNull() & F.col("_b").isNotNull()).alias("n_dates"),
+        ratio(F.covar_pop("_a", "_b"), spread).alias("correlation"), F.count_if(both).alias("n_dates")
     )
 
 

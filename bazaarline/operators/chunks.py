@@ -18,7 +18,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from ..functions.calendar import add_temporal_features
-from ..functions.quantiles import group_quantiles
+from ..functions.quantiles import attach, group_quantiles
 from ..functions.scalars import known, ratio
 from ..functions.staging import stage
 from ..sources.validate import require_columns
@@ -104,7 +104,7 @@ def long_detection(df: DataFrame, window: int = 6, days: int = DAYS) -> DataFram
 def joined_figures(df: DataFrame, figures: DataFrame, keys: Sequence[str] = GROUP) -> DataFrame:
     """Rows with their group's figures. A staged table's size is known: it is broadcast
     where small, and a hot group's rows are split where it is not. Null keys find none."""
-    return df.join(stage(figures, "figures"), list(keys), "left")
+    return attach(df, stage(figures, "figures"), keys)
 
 
 def long_normalise(df: DataFrame, method: str = "minmax") -> DataFrame:
@@ -117,9 +117,8 @@ def long_normalise(df: DataFrame, method: str = "minmax") -> DataFrame:
     if method == "standard":
         figures = df.groupBy(*GROUP).agg(F.avg(price).alias("_centre"), F.stddev_pop(price).alias("_spread"))
     elif method == "robust":
-        quarters = group_quantiles(df, GROUP, "price", (0.25, 0.5, 0.75))
-        low, middle, high = (F.get("quantiles", F.lit(i)) for i in range(3))
-        figures = quarters.select(*GROUP, middle.alias("_centre"), (high - low).alias("_spread"))
+        quarters = group_quantiles(df, GROUP, "price", {"_q1": 0.25, "_q2": 0.5, "_q3": 0.75})
+        figures = quarters.select(*GROUP, F.col("_q2").alias("_centre"), (F.col("_q3") - F.col("_q1")).alias("_spread"))
     else:
         figures = df.groupBy(*GROUP).agg(F.min(price).alias("_centre"), (F.max(price) - F.min(price)).alias("_spread"))
     spread = F.when(F.col("_spread") == 0, 1.0).otherwise(F.col("_spread"))

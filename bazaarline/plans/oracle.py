@@ -812,6 +812,21 @@ def oracle() -> dict[str, str]:
     q["product_correlation"] = f"""WITH {KNOWN}, m AS (SELECT date, product, avg(price) AS price FROM known GROUP BY 1, 2)
       SELECT a.product AS product_a, b.product AS product_b, {s("corr(a.price, b.price)")} AS correlation, count(*) AS n_dates
       FROM m a JOIN m b ON a.date = b.date AND a.product > b.product GROUP BY 1, 2"""
+    q["product_correlation_blocks"] = q["product_correlation"]
+    daily = OBS + ",\n" + months("panel", "obs", "day")
+    plain = {
+        "long_lags": "lag_features",
+        "long_rolling": "rolling_features",
+        "long_changes": "pct_change_features",
+        "long_national": "price_vs_national",
+        "long_normalise_minmax": "normalise_minmax",
+        "long_normalise_robust": "normalise_robust",
+        "long_features": "build_features",
+        "long_detection": "detection_features",
+        "long_normalise_score": "normalise_score",
+    }
+    for name, same in plain.items():
+        q[name] = q[same].replace(PANEL, daily)
     q["series_with_anomalies"] = f"""WITH {SCORED} SELECT date, {snap("price")}, is_anomaly,
       CASE WHEN is_anomaly THEN {s("price")} END AS anomaly_price FROM scored WHERE product = 'Brand#7' AND region = 'ASIA'"""
     q["top_alerts"] = f"WITH {ALERTS}, t AS (SELECT * FROM alerts {best} LIMIT 10) SELECT {ALERT_COLUMNS} FROM t"

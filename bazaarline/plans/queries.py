@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.calendar import BOARD_RAMADAN, SEASONS_FR, add_temporal_features, is_ramadan, season
 from ..functions.scalars import format_price, signed_percent, snap
 from ..functions.staging import new_path, spread, stage
-from ..operators import analytics, anomaly, boundary, changepoints, cleaning, features, forecast, isolation, window_model
+from ..operators import analytics, anomaly, boundary, changepoints, chunks, cleaning, features, forecast, gram, isolation, window_model
 from ..sources import dimensions, readers, sinks
 from . import tables
 
@@ -356,6 +356,38 @@ QUERIES["simple_features"] = _on_panel(features.simple_features)
 QUERIES["build_features"] = _on_panel(features.build_features)
 
 
+def _on_days(step: Callable[[DataFrame], DataFrame]) -> Query:
+    """On the daily panel, in chunks that are far shorter than its series."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        days = cleaning.aggregate_monthly(tables.prices(spark, sf_dir), "D")
+        return snapped(step(stage(days.drop("price_std", "record_count"), "days")))
+
+    return run
+
+
+QUERIES["long_lags"] = _on_days(lambda df: chunks.long_lags(df, days=300))
+QUERIES["long_rolling"] = _on_days(lambda df: chunks.long_rolling(df, days=300))
+QUERIES["long_changes"] = _on_days(lambda df: chunks.long_changes(df, days=300))
+QUERIES["long_national"] = _on_days(chunks.long_national)
+QUERIES["long_normalise_minmax"] = _on_days(lambda df: chunks.long_normalise(df, "minmax"))
+QUERIES["long_normalise_robust"] = _on_days(lambda df: chunks.long_normalise(df, "robust"))
+QUERIES["long_features"] = _on_days(lambda df: chunks.build_long_features(df, days=300))
+
+
+@query
+def long_detection(spark, sf_dir):
+    days = cleaning.aggregate_monthly(tables.prices(spark, sf_dir), "D").where("price is not null")
+    return snapped(chunks.long_detection(stage(days.select("product", "region", "date", "price"), "days"), days=300))
+
+
+@query
+def long_normalise_score(spark, sf_dir):
+    days = cleaning.aggregate_monthly(tables.prices(spark, sf_dir), "D").where("price is not null")
+    days = stage(days.select("product", "region", "date", "price"), "days")
+    return snapped(chunks.long_normalise_score(days, "price").drop("price"))
+
+
 @query
 def inverse_normalise(spark, sf_dir):
     known = stage(tables.known_panel(spark, sf_dir), "panel")
@@ -835,6 +867,12 @@ def product_correlation(spark, sf_dir):
     return snapped(analytics.product_correlation(_known(spark, sf_dir)))
 
 
+@query
+def product_correlation_blocks(spark, sf_dir):
+    """The same figures by blocks of eight products and chunks of sixteen months."""
+    return snapped(gram.product_correlation(_known(spark, sf_dir), 8, 16))
+
+
 @query
 def series_with_anomalies(spark, sf_dir):
     return snapped(analytics.series_with_anomalies(tables.scored_panel(spark, sf_dir), "Brand#7", "ASIA"))
