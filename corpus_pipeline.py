@@ -26,7 +26,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Near duplicates have SimHash fingerprints of three-word shingles that differ in at most
     three bits, or are linked by others that do.
     """
-    return simhash.deduplicated(docs, shingle=3, most=3)
+    return simhash.deduplicated(docs, most=3)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
