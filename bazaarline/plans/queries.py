@@ -434,7 +434,7 @@ def _training(spark, sf_dir):
 def isolation_score(spark, sf_dir):
     rows = _training(spark, sf_dir)
     forest = stage(isolation.fit_forest(rows, anomaly.GROUP, anomaly.SCALED, anomaly.day_label()), "forest")
-    scored = isolation.add_isolation_score(rows, forest, anomaly.GROUP, anomaly.SCALED, "score")
+    scored = isolation.add_isolation_score(spread(rows, *anomaly.GROUP), forest, anomaly.GROUP, anomaly.SCALED, "score")
     return snapped(scored.select("product", "region", "date", "score"))
 
 
@@ -442,7 +442,7 @@ def isolation_score(spark, sf_dir):
 def boundary_score(spark, sf_dir):
     rows = _training(spark, sf_dir)
     means = stage(boundary.fit_boundary(rows, anomaly.GROUP, anomaly.SCALED), "boundary")
-    scored = boundary.add_similarity(rows, means, anomaly.GROUP, anomaly.SCALED, "score")
+    scored = boundary.add_similarity(spread(rows, *anomaly.GROUP), means, anomaly.GROUP, anomaly.SCALED, "score")
     return snapped(scored.select("product", "region", "date", "score"))
 
 
