@@ -375,8 +375,7 @@ STEPS = {"D": "1 day", "W": "7 days", "MS": "1 month", "QS": "3 months", "YS": "
 def aggregate_monthly(df: DataFrame, freq: str = "MS") -> DataFrame:
     """Mean price, sample deviation and row count by product, region and period.
 
-    Empty periods between a group's first and last get a row with no price and
-    count 0: each row opens the run of periods up to the group's next row.
+    Empty periods between a group's first and last get a row with no price and count 0.
     """
     require_columns(df, ["date", "product", "region", "price"])
     price = known(df, "price")
@@ -389,6 +388,12 @@ def aggregate_monthly(df: DataFrame, freq: str = "MS") -> DataFrame:
             F.count(price).alias("record_count"),
         )
     )
+    return fill_periods(observed, freq)
+
+
+def fill_periods(observed: DataFrame, freq: str = "MS") -> DataFrame:
+    """A row for every period between a group's first and last: each row opens the run of
+    periods up to the group's next row."""
     step = F.expr(f"interval {STEPS[freq]}")
     nxt = F.lead("date").over(W.partitionBy(*GROUP).orderBy("date"))
     last = F.coalesce(F.to_date(F.col("_next") - step), F.col("date"))

@@ -572,12 +572,15 @@ def oracle() -> dict[str, str]:
     for name, unit in (("monthly", "month"), ("daily", "day"), ("quarterly", "quarter"), ("yearly", "year")):
         q[f"aggregate_{name}"] = f"""WITH {OBS}, {months("panel", "obs", unit)}
           SELECT {KEYS}, {snap("price", "price_std")}, record_count FROM panel"""
+    q["incremental_panel"] = q["aggregate_monthly"]
     q["aggregate_weekly"] = f"""WITH {OBS}, w AS (SELECT product, region, date_trunc('week', date) + INTERVAL 6 DAY AS date, price FROM obs),
       {months("panel", "w", "week").replace("date_trunc('week', date)", "date")}
       SELECT {KEYS}, {snap("price", "price_std")}, record_count FROM panel"""
 
     # calendar and features
     q["temporal_features"] = f"WITH {shifted(300)} SELECT product, date, {snap('price')}, {calendar_columns()} FROM moved"
+    q["event_flags"] = f"""WITH {shifted(300)} SELECT product, date, {snap("price")},
+      {calendar("date", RAMADAN)} AS is_ramadan, {holiday("date")} AS is_holiday FROM moved"""
     q["ramadan_board"] = f"""WITH {shifted(240)} SELECT product, date, {snap("price")},
       {calendar("date", BOARD_RAMADAN)} AS is_ramadan, {season("date", SEASONS_FR)} AS season FROM moved"""
     q["lag_features"] = on_panel(LAGS)
@@ -721,6 +724,14 @@ def oracle() -> dict[str, str]:
         UNION ALL SELECT 'ensemble', product, region, actual, 0.5 * trend_yhat + 0.5 * ar_yhat FROM both_models),
       m AS (SELECT model, product, region, {error.format(y="actual", p="p")} FROM long_form GROUP BY 1, 2, 3)
       SELECT model, product, region, {snap("mae", "rmse", "mape")} FROM m"""
+    q["best_matches"] = """WITH known AS (
+      SELECT p_type AS name FROM part UNION SELECT p_brand FROM part UNION SELECT n_name FROM nation),
+    asked AS (SELECT DISTINCT unnest([lower(p_type), substr(p_type, 3, 6),
+        'the ' || p_brand || ' of ' || p_partkey::VARCHAR, substr(p_brand, 6, 2), right(p_name, 4)]) AS requested FROM part),
+    ranked AS (SELECT requested, name, row_number() OVER (PARTITION BY requested ORDER BY
+        CASE WHEN lower(name) = lower(requested) THEN 0 ELSE 1 END, name) AS place
+      FROM asked JOIN known ON contains(lower(name), lower(requested)) OR contains(lower(requested), lower(name)))
+    SELECT requested, name FROM asked LEFT JOIN (SELECT * FROM ranked WHERE place = 1) USING (requested)"""
     q["best_match"] = " UNION ALL ".join(
         f"SELECT * FROM ({match_sql('p_brand', 'part', w)})" for w in ("brand#7", "AND#2", "the brand#14 price", "tomates")
     )

@@ -11,11 +11,12 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.calendar import BOARD_RAMADAN, SEASONS_FR, add_temporal_features, is_ramadan, season
+from ..functions.calendar import BOARD_RAMADAN, HOLIDAYS, RAMADAN, SEASONS_FR, add_temporal_features, is_ramadan, season
+from ..functions.events import add_event_flag, add_yearly_flag
 from ..functions.scalars import format_price, signed_percent, snap
 from ..functions.staging import new_path, spread, stage
-from ..operators import analytics, anomaly, boundary, changepoints, chunks, cleaning, features, forecast, gram, isolation, window_model
-from ..sources import dimensions, readers, sinks
+from ..operators import analytics, anomaly, boundary, changepoints, chunks, cleaning, features, forecast, gram, isolation, names, window_model
+from ..sources import dimensions, incremental, readers, sinks
 from . import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -310,6 +311,22 @@ def aggregate_monthly(spark, sf_dir):
     return snapped(tables.panel(spark, sf_dir))
 
 
+@query
+def incremental_panel(spark, sf_dir):
+    """Built from some files, one of them with other prices; then the rest comes and that one is replaced."""
+    source, state = new_path(spark, "prices"), new_path(spark, "state")
+    rows = tables.observations(spark, sf_dir).select("date", "product", "region", "price", (F.col("order_key") % 4).alias("kind"))
+    other = rows.where("kind = 1").withColumn("price", F.col("price") * 3)
+    write = lambda df, mode, part: df.drop("kind").write.mode(mode).parquet(f"{source}/part={part}")
+    write(rows.where("kind = 0"), "error", 0)
+    write(other, "error", 1)
+    incremental.refresh(spark, source, state)
+    write(rows.where("kind = 1"), "overwrite", 1)
+    write(rows.where("kind >= 2"), "error", 2)
+    incremental.refresh(spark, source, state)
+    return snapped(incremental.panel(spark, state))
+
+
 def _periods(freq: str) -> Query:
     return lambda spark, sf_dir: snapped(cleaning.aggregate_monthly(tables.prices(spark, sf_dir), freq))
 
@@ -332,6 +349,15 @@ def temporal_features(spark, sf_dir):
     return snapped(add_temporal_features(_shifted(spark, sf_dir, 300)))
 
 
+@query
+def event_flags(spark, sf_dir):
+    """The calendar flags of every observation's day, from tables of events."""
+    rows = _shifted(spark, sf_dir, 300).select("product", "date", "price")
+    spans = spark.createDataFrame([(date.fromisoformat(a), date.fromisoformat(b)) for a, b in RAMADAN.values()], "start date, end date")
+    days = spark.createDataFrame(HOLIDAYS, "month int, day int")
+    return snapped(add_yearly_flag(add_event_flag(rows, spans, "is_ramadan"), days, "is_holiday"))
+
+
 @query
 def ramadan_board(spark, sf_dir):
     day = F.col("date")
@@ -669,6 +695,19 @@ def best_match(spark, sf_dir):
     return exact.union(inside).union(around).union(none)
 
 
+@query
+def best_matches(spark, sf_dir):
+    """Every part's type, and pieces of it, asked for among all brands, types and nations."""
+    read = lambda name, column: tables.read(spark, sf_dir, name).select(F.col(column).alias("name"))
+    known = read("part", "p_type").unionByName(read("part", "p_brand")).unionByName(read("nation", "n_name"))
+    part = tables.read(spark, sf_dir, "part")
+    forms = F.array(
+        F.lower("p_type"), F.substring("p_type", 3, 6), F.concat(F.lit("the "), "p_brand", F.lit(" of "), F.col("p_partkey").cast("string")),
+        F.substring("p_brand", 6, 2), F.right("p_name", F.lit(4)),
+    )
+    return names.best_matches(known, part.select(F.explode(forms).alias("requested")))
+
+
 @query
 def pick_best_series(spark, sf_dir):
     return forecast.pick_best_series(_known(spark, sf_dir), "brand#7", "asi").union(
