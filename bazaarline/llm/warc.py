@@ -1,7 +1,7 @@
 """WARC archives: writing with revisit records, reading by boundary chains.
 
-An archive is cut at every occurrence of the version line, wherever tasks find one: in
-record headers and, as likely, inside payloads. Every cut is a candidate record; its
+An archive is cut at every occurrence of the version line's start, wherever tasks find one: in
+record headers (versions 1.0 and 1.1) and, as likely, inside payloads. Every cut is a candidate record; its
 header's Content-Length gives the offset of its successor. Pointer jumping from offset 0
 of every file then marks the candidates on the chain of real records: each round doubles
 the reach, so rounds grow with the logarithm of a file's records. Candidates off the chain
@@ -14,7 +14,9 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, fu
 
 from ..functions.staging import new_path, stage
 
-MAGIC = "WARC/1.0\r\n"
+#: Archives are cut here; a record goes on with its minor version and a line end.
+MAGIC = "WARC/1."
+MINOR = "^[01]\r\n"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
@@ -29,7 +31,15 @@ def _line(name: str, value: Column) -> Column:
 
 
 def _urn(page: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("")), F.lit(">"))
+    """A record's name by its key, percent-encoded; a missing key has a name of its own."""
+    name = F.concat(F.lit("<urn:page:"), F.url_encode(page.cast("string")), F.lit(">"))
+    return F.coalesce(name, F.lit("<urn:no-page:>"))
+
+
+def _page(header: str) -> Column:
+    """The key in a record's name, as text; null where the name holds none."""
+    name = F.regexp_extract(_field(header), "<urn:page:[^>]*>", 0)
+    return F.when(name != "", F.try_url_decode(F.substr(name, F.lit(11), F.length(name) - 11)))
 
 
 def records(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html", least: int = 100) -> DataFrame:
@@ -105,7 +115,8 @@ def candidates(cut: DataFrame) -> DataFrame:
     header, null where the piece has no readable header. ``digest_read`` is that of the
     payload if the piece holds all of it.
     """
-    header = F.when(F.contains("value", F.lit(END)), F.substring_index("value", END, 1))
+    opens = F.contains("value", F.lit(END)) & F.rlike("value", F.lit(MINOR))
+    header = F.when(opens, F.substring_index("value", END, 1))
     opened = cut.select(
         "file", "block", "row", F.octet_length("value").cast("long").alias("size"), header.alias("header"),
         F.col("value").cast("binary").alias("raw"),
@@ -116,8 +127,8 @@ def candidates(cut: DataFrame) -> DataFrame:
         length.alias("length"),
         (F.octet_length("header") + len(END)).cast("long").alias("head"),
         _field("WARC-Type").alias("type"),
-        F.regexp_extract(_field("WARC-Record-ID"), "<urn:page:([^>]*)>", 1).alias("page"),
-        F.regexp_extract(_field("WARC-Refers-To"), "<urn:page:([^>]*)>", 1).alias("refers"),
+        _page("WARC-Record-ID").alias("page"),
+        _page("WARC-Refers-To").alias("refers"),
         F.regexp_extract(_field("WARC-Payload-Digest"), "sha256:([0-9a-f]*)", 1).alias("digest"),
     )
     whole = F.col("size") >= F.col("head") + F.col("length")

@@ -214,3 +214,27 @@ def test_unusable_vectors_take_no_part(spark):
     assert {r.vec_id: list(r.vector) for r in df.collect()} == {0: [128, 64], 5: [-1, 256], 6: []}
     assert [tuple(r) for r in topk.top_k(df, F.col("vec_id") % 50 == 0).orderBy("rank").collect()] == [(0, 1, 5, 128 * -1 + 64 * 256), (0, 2, 6, 0)]
     assert topk.top_k(df.where("false"), F.lit(True)).count() == 0
+
+
+def test_archives_with_text_keys(spark):
+    """Keys come back whatever they hold; a missing and an empty key stay apart."""
+    keys = ["a>b", "d\r\ne", "", None, "é %41+ &", "<urn:page:x>", "WARC/1.0\r\n", " "]
+    rows = [(k, "u", "p" * 150 if i % 2 else f"{i}" * 120) for i, k in enumerate(keys)]
+    read = warc.round_trip(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    assert sorted((repr(r.page_id) for r in read)) == sorted(map(repr, keys)) and all(r.intact for r in read)
+    first = min(k for i, k in enumerate(keys) if i % 2 and k is not None)
+    assert {r.page_id for r in read if r.record_type == "revisit"} == {k for i, k in enumerate(keys) if i % 2 and k != first}
+    assert all(r.refers_to == first for r in read if r.record_type == "revisit")
+
+
+def test_both_versions_are_read(spark, tmp_path):
+    """Archives of versions 1.0 and 1.1, also mixed, with both version lines inside payloads."""
+    body = b"x" + FAKE.encode() + FAKE.replace("1.0", "1.1").encode() + b"WARC/1.2\r\nWARC/1."
+    data = b""
+    for i in range(6):
+        head = f"WARC/1.{i % 2}\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:page:{i}>\r\n"
+        head += f"WARC-Payload-Digest: sha256:{hashlib.sha256(body * i).hexdigest()}\r\nContent-Length: {len(body) * i}\r\n\r\n"
+        data += head.encode() + body * i + b"\r\n\r\n"
+    (tmp_path / "both.warc").write_bytes(data)
+    rows = warc.read(spark, str(tmp_path / "both.warc")).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.intact) for r in rows) == [(i, len(body) * i, True) for i in range(6)]
