@@ -188,15 +188,17 @@ def pack(
         for batch in batches:
             kind = batch.column(0).type
             for doc, value in zip(batch.column(0), batch.column(1)):
-                rest = Piece(doc.as_py(), 0, ids := coder.encode(value.as_py()) + end, len(ids) // WIDTH)
-                waiting += len(rest)
-                while len(rest) > sizes[0]:
-                    head, rest = rest.cut(sizes[0])
-                    full.append((sizes[0], [head]))
+                name, ids = doc.as_py(), coder.encode(value.as_py()) + end
+                total, done = len(ids) // WIDTH, 0
+                waiting += total
+                while total - done > sizes[0]:
+                    head = ids[done * WIDTH : (done + sizes[0]) * WIDTH]
+                    full.append((sizes[0], [Piece(name, done, head, total)]))
+                    done += sizes[0]
                     if len(full) * sizes[0] >= block_tokens:
                         yield from flush(False)
                         waiting = pool.tokens
-                pool.put(rest)
+                pool.put(Piece(name, done, ids[done * WIDTH :], total))
                 if waiting >= block_tokens:
                     yield from flush(False)
                     waiting = pool.tokens
