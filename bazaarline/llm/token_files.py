@@ -31,8 +31,12 @@ MARK = 0xF1
 
 
 def key_bytes(key: object) -> bytes:
+    """A name of a key, equal for equal keys only (of one column): a null's is no text's
+    UTF-8, both zeros are one, and so is every NaN."""
     if key is None:
-        return b""
+        return b"\xff"
+    if isinstance(key, float) and key == 0:
+        key = 0.0
     return key.encode() if isinstance(key, str) else b"#" + str(key).encode()
 
 
@@ -49,8 +53,10 @@ class PerfectHash:
     @classmethod
     def build(cls, keys: list[bytes]) -> PerfectHash:
         """Buckets, largest first, try seeds until their keys fall on free slots; buckets
-        of one key take the free slots that remain."""
+        of one key take the free slots that remain. Equal keys can't be told apart: an error."""
         n = len(keys)
+        if len(set(keys)) < n:
+            raise ValueError("a perfect hash needs distinct keys")
         buckets: list[list[bytes]] = [[] for _ in range(n // LOAD + 1)]
         for key in keys:
             buckets[xxhash.xxh64_intdigest(key) % len(buckets)].append(key)
@@ -60,12 +66,12 @@ class PerfectHash:
             own = buckets[b]
             if len(own) < 2:
                 break
-            seed = 0
-            while True:
-                seed += 1
+            for seed in range(1, 1 << 31):
                 slots = {xxhash.xxh64_intdigest(key, seed) % n for key in own}
                 if len(slots) == len(own) and all(free[s] for s in slots):
                     break
+            else:
+                raise ValueError("no seed separates the keys of a bucket")
             seeds[b] = seed
             for s in slots:
                 free[s] = False
@@ -82,9 +88,10 @@ def fingerprint(key: bytes) -> int:
 
 def index_of(keys: list[object]) -> dict[str, bytes]:
     """Displacements, fingerprints and document runs of a shard whose equal keys adjoin."""
-    firsts = [i for i, k in enumerate(keys) if i == 0 or k != keys[i - 1]]
+    every = [key_bytes(k) for k in keys]
+    firsts = [i for i, name in enumerate(every) if i == 0 or name != every[i - 1]]
     runs = [b - a for a, b in zip(firsts, [*firsts[1:], len(keys)])]
-    names = [key_bytes(keys[i]) for i in firsts]
+    names = [every[i] for i in firsts]
     hashed = PerfectHash.build(names)
     marks, first, count = (np.zeros(len(names), "<u4") for _ in range(3))
     for name, i, n in zip(names, firsts, runs):
