@@ -5,8 +5,8 @@ ranks over a doubly linked list of symbols, and decoding joins vocabulary string
 Results equal those of the ``tokenizers`` library for two kinds of vocabulary files:
 ``byte`` (spaces belong to the following word) and ``word`` (lower case, white space
 dropped, word ends marked). The path of the file is a parameter and must exist on every
-machine. Pre-tokens are memoised per Python worker under a fixed bound, so memory doesn't grow
-with the corpus.
+machine. Pre-tokens are memoised per Python worker under bounds of entries and characters,
+so memory doesn't grow with the corpus, whatever its words are.
 """
 
 from __future__ import annotations
@@ -43,25 +43,37 @@ WORD_SPLIT = re.compile(
 )
 #: Entries in one generation of a memo.
 MEMO = 250_000
+#: Characters of the keys of one generation, and of a key that is remembered at all.
+MEMO_LETTERS, MEMO_LONGEST = 8 << 20, 256
 
 
 class Memo(dict):
-    """Values of ``make`` by key in two generations of at most ``bound`` entries each.
+    """Values of ``make`` by key in two generations of at most ``bound`` entries and
+    ``letters`` characters each.
 
     A full generation becomes the old one and the one before it goes, so frequent keys
-    stay. ``fixed`` entries are never dropped.
+    stay. ``fixed`` entries are never dropped. Keys of more than ``longest`` characters are
+    made anew each time.
     """
 
-    def __init__(self, make: Callable[[str], object], bound: int = MEMO, fixed: dict | None = None):
+    def __init__(
+        self, make: Callable[[str], object], bound: int = MEMO, fixed: dict | None = None,
+        letters: int = MEMO_LETTERS, longest: int = MEMO_LONGEST,
+    ):
         super().__init__(fixed or {})
         self.make, self.fixed, self.bound = make, dict(fixed or {}), bound + len(fixed or {})
+        self.letters, self.longest, self.held = letters, longest, 0
         self.old: dict = {}
 
     def __missing__(self, key: str):
-        if len(self) >= self.bound:
+        if len(key) > self.longest:
+            return self.make(key)
+        if len(self) >= self.bound or self.held >= self.letters:
             self.old = dict(self)
             self.clear()
             self.update(self.fixed)
+            self.held = 0
+        self.held += len(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)

@@ -195,3 +195,69 @@ def test_queries(spark):
     for r in QUERIES["op3_packing"](spark, SMALL).collect():
         ids = [*by_library(BYTE, docs[r.doc_id]), 0][r.start : r.start + r.length]
         assert r.ids_crc32 == zlib.crc32(packed(ids)) and len(ids) == r.length
+
+
+def test_keys_that_look_alike(spark, tmp_path):
+    """A missing key, an empty text, both zeros and every NaN: each key has one run of documents."""
+    for number, (kind, keys) in enumerate([
+        ("string", [None, "", "", "\xff", "#", None, "5"]),
+        ("double", [float("nan"), 0.0, -0.0, float("nan"), None, 2.5, -0.0]),
+    ]):
+        docs = spark.createDataFrame([(k, f"text {i}") for i, k in enumerate(keys)], f"doc_id {kind}, text string")
+        path = str(tmp_path / str(number))
+        token_files.write(docs, path, BYTE, BYTE_RANKS)
+        rows = token_files.read(spark, path).collect()
+        assert sorted(repr(r.doc_id).replace("-0.0", "0.0") for r in rows) == sorted(repr(k).replace("-0.0", "0.0") for k in keys)
+    made = token_files.index_of([None, "", "a", "a"])
+    assert sorted(memoryview(made["count"]).cast("I")) == [1, 1, 2]
+    made = token_files.index_of([float("nan")] * 3)
+    assert list(memoryview(made["count"]).cast("I")) == [3]
+    with pytest.raises(ValueError, match="distinct"):
+        token_files.PerfectHash.build([b"a", b"b", b"a"])
+
+
+def test_memory_of_words_is_bounded():
+    """Words of any length leave a bounded memo, and ids are the library's."""
+    own, random_ = bpe.Bpe(BYTE), random.Random(5)
+    memo = own.pretokens
+    memo.letters, memo.bound = 5000, 400
+    own.chunks.letters, own.chunks.bound = 5000, 400
+    for size in (1, 30, 200, 256, 257, 3000):
+        for _ in range(60):
+            text = " ".join("".join(random_.choices("abcXYZ", k=size)) for _ in range(3))
+            assert unpacked(own.encode(text)) == by_library(BYTE, text)
+            for m in (memo, own.chunks):
+                assert max(map(len, [*m, *m.old]), default=0) <= 256 and len(m) <= 400 and sum(map(len, m)) <= 5256
+
+
+def test_long_texts_are_cut_in_linear_time(spark, monkeypatch):
+    """A document of 100 MB of ids: the rest isn't copied for every window."""
+    ids = packed(list(range(25_000)) * 1000)
+
+    class Coder:
+        def encode(self, text):
+            return ids
+
+    import time
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(packing, "ranked", lambda path, ranks: Coder())
+    monkeypatch.setattr(packing, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": staticmethod(lambda: 0)}))}))
+    got = {}
+
+    class Frame:
+        columns = ["doc_id", "text"]
+        schema = spark.createDataFrame([], "doc_id long, text string").schema
+
+        def select(self, *names):
+            return self
+
+        def mapInArrow(self, run, schema):
+            batch = pa.RecordBatch.from_arrays([pa.array([1], pa.int64()), pa.array(["x"])], ["doc_id", "text"])
+            start = time.time()
+            got["lengths"] = [n for out in run([batch]) for n in out.column("length").to_pylist()]
+            got["seconds"] = time.time() - start
+
+    packing.pack(Frame(), BYTE, BYTE_RANKS)
+    assert sum(got["lengths"]) == 25_000_001 and got["seconds"] < 20
