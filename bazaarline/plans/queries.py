@@ -15,7 +15,7 @@ from ..functions.calendar import BOARD_RAMADAN, HOLIDAYS, RAMADAN, SEASONS_FR, a
 from ..functions.events import add_event_flag, add_yearly_flag
 from ..functions.scalars import format_price, signed_percent, snap
 from ..functions.staging import new_path, spread, stage
-from ..operators import analytics, anomaly, boundary, changepoints, chunks, cleaning, features, forecast, gram, isolation, names, window_model
+from ..operators import analytics, anomaly, boundary, changepoints, chunks, cleaning, features, forecast, gram, isolation, names, recurrent, window_model
 from ..sources import dimensions, incremental, readers, sinks
 from . import tables
 
@@ -625,6 +625,12 @@ def forecast_window_regression(spark, sf_dir):
     return snapped(window_model.forecast_window_regression(rows))
 
 
+@query
+def forecast_recurrent(spark, sf_dir):
+    rows = stage(features.build_features(_known(spark, sf_dir)), "features")
+    return snapped(recurrent.forecast_recurrent(rows))
+
+
 @query
 def forecast_ensemble(spark, sf_dir):
     return snapped(forecast.forecast_ensemble(_known(spark, sf_dir)))
