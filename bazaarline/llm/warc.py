@@ -6,6 +6,9 @@ header's Content-Length gives the offset of its successor. Pointer jumping from
 of every file then marks the candidates on the chain of real records: each round doubles
 the reach, so rounds grow with the logarithm of a file's records. Candidates off the chain
 were payload bytes; they are given back to the record that holds them.
+
+Offsets are sums of piece sizes inside a reader's block plus the sums of the blocks before, and
+pieces find their record by (file, span of offsets): no archive is ordered in one task.
 """
 
 from __future__ import annotations
@@ -18,6 +21,8 @@ from ..functions.staging import new_path, stage
 MAGIC = "WARC/1."
 MINOR = "^[01]\r\n"
 END = "\r\n\r\n"
+#: Pieces and the records that hold them meet by file and offset divided by this.
+SPAN = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 DATE = "2000-01-01T00:00:00Z"
 
@@ -108,12 +113,11 @@ def _field(name: str) -> Column:
     return F.when(found != "", found)
 
 
-def candidates(cut: DataFrame) -> DataFrame:
-    """``file, at, next`` and the header fields of every piece, real record or not.
+def headers(cut: DataFrame) -> DataFrame:
+    """``file, block, row, size`` and the header fields of every piece, real record or not.
 
-    ``at`` is the offset of the version line, ``next`` the successor's offset by the
-    header, null where the piece has no readable header. ``digest_read`` is that of the
-    payload if the piece holds all of it.
+    Fields are null where the piece has no readable header (a negative length isn't one).
+    ``digest_read`` is that of the payload if the piece holds all of it.
     """
     opens = F.contains("value", F.lit(END)) & F.rlike("value", F.lit(MINOR))
     header = F.when(opens, F.substring_index("value", END, 1))
@@ -124,7 +128,7 @@ def candidates(cut: DataFrame) -> DataFrame:
     length = F.expr("try_cast(length_text as bigint)")
     parsed = opened.withColumn("length_text", _field("Content-Length")).select(
         "file", "block", "row", "size", "raw",
-        length.alias("length"),
+        F.when(length >= 0, length).alias("length"),
         (F.octet_length("header") + len(END)).cast("long").alias("head"),
         _field("WARC-Type").alias("type"),
         _page("WARC-Record-ID").alias("page"),
@@ -134,12 +138,33 @@ def candidates(cut: DataFrame) -> DataFrame:
     whole = F.col("size") >= F.col("head") + F.col("length")
     body = F.expr("substring(raw, cast(head + 1 as int), cast(length as int))")
     narrow = parsed.withColumn("digest_read", F.when(whole, F.sha2(body, 256)))
-    narrow = narrow.withColumn("mark", F.xxhash64("raw")).drop("raw")
-    # offsets: sizes and version lines before, by file; only these narrow rows are ordered
-    before = Window.partitionBy("file").orderBy("block", "row").rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum(F.col("size") + len(MAGIC)).over(before), F.lit(0))
-    placed = narrow.withColumn("at", start - len(MAGIC)).where("at >= 0")
-    return placed.withColumn("next", F.col("at") + len(MAGIC) + F.col("head") + F.col("length") + len(END))
+    return narrow.withColumn("mark", F.xxhash64("raw")).drop("raw")
+
+
+def placed(cut: DataFrame) -> DataFrame:
+    """Pieces with ``at``, the offset of their version line; what stands before a file's first goes.
+
+    ``cut`` must be stored: it is read twice, and blocks and rows are those of one scan.
+    """
+    span, past = F.col("size") + len(MAGIC), (Window.unboundedPreceding, -1)
+    blocks = cut.groupBy(F.col("file").alias("f"), F.col("block").alias("b")).agg(F.sum(span).alias("bytes"))
+    over_file = Window.partitionBy("f").orderBy("b").rowsBetween(*past)
+    first = F.coalesce(F.sum("bytes").over(over_file), F.lit(0)) - len(MAGIC)
+    starts = stage(blocks.select("f", "b", first.alias("first")), "blocks")
+    over_block = Window.partitionBy("file", "block").orderBy("row").rowsBetween(*past)
+    inside = cut.withColumn("inside", F.coalesce(F.sum(span).over(over_block), F.lit(0)))
+    joined = inside.join(starts, (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")))
+    return joined.withColumn("at", F.col("first") + F.col("inside")).where("at >= 0").drop("f", "b", "first", "inside", "block", "row")
+
+
+def candidates(cut: DataFrame) -> DataFrame:
+    """``file, at, next`` and the header fields of every piece, real record or not.
+
+    ``at`` is the offset of the version line, ``next`` the successor's offset by the
+    header, null where the piece has no readable header.
+    """
+    found = placed(stage(headers(cut), "headers"))
+    return found.withColumn("next", F.col("at") + len(MAGIC) + F.col("head") + F.col("length") + len(END))
 
 
 def chain(found: DataFrame) -> DataFrame:
@@ -212,35 +237,44 @@ def lengths(found: DataFrame) -> DataFrame:
 
 
 def lost() -> Column:
-    """An error where a payload that the file holds wasn't mended; null for one cut off.
-
-    The second scan may be split otherwise than the first, if executors come or go between.
-    """
+    """An error where a payload that the file held wasn't found again; null for one cut off."""
     end = F.col("at") + len(MAGIC) + F.col("head") + F.col("length")
-    told = F.concat(F.lit("archive was split anew between two scans: "), F.col("file"), F.lit(" at "), F.col("at"))
+    told = F.concat(F.lit("archive was changed between two scans: "), F.col("file"), F.lit(" at "), F.col("at"))
     return F.when(end <= F.col("bytes"), F.raise_error(told).cast("string"))
 
 
+def held_pieces(found: DataFrame, broken: DataFrame) -> DataFrame:
+    """``f, a, mark, record, head, length``: the pieces of records that version lines cut up.
+
+    A record is dealt to every span of offsets that it covers, up to the end of its file.
+    """
+    starts = broken.where("next is not null").join(lengths(found), F.col("file") == F.col("g"))
+    last = F.least("next", "bytes") - 1
+    covers = F.explode(F.sequence(F.expr(f"at div {SPAN}"), F.floor(last / SPAN)))
+    starts = starts.select(F.col("file").alias("f"), F.col("at").alias("record"), "next", "head", "length", covers.alias("span"))
+    cut = found.select("file", F.col("at").alias("a"), "mark")
+    here = (F.col("file") == F.col("f")) & (F.expr(f"a div {SPAN}") == F.col("span"))
+    inside = (F.col("a") >= F.col("record")) & (F.col("a") < F.col("next"))
+    return cut.join(starts, here & inside).select("f", "a", "mark", "record", "head", "length")
+
+
 def rejoined(spark: SparkSession, path: str, found: DataFrame, broken: DataFrame) -> DataFrame:
     """``f, a, digest_mended`` of records whose payload holds version lines.
 
-    Their pieces alone are read out again; a piece is known by its place in the scan and
-    goes to the last such record before it. A group is one record's pieces.
+    Files that hold such records are read again, and the bytes of their pieces are stored
+    beside the sizes of all others. Offsets come from that table alone, so it doesn't matter
+    how either scan was split. A group is one record's pieces.
     """
-    starts = broken.withColumn("record", F.col("at"))
-    marks = found.select("file", "at", "block", "row", "mark").join(
-        starts.select(F.col("file").alias("f"), F.col("at").alias("a"), "record", "next", "head", "length"),
-        (F.col("file") == F.col("f")) & (F.col("at") == F.col("a")),
-        "left",
+    held = stage(held_pieces(found, broken), "held")
+    wanted = held.select(F.col("f").alias("g"), F.col("mark").alias("m")).distinct()
+    raw = F.col("value").cast("binary")
+    again = pieces(spark, path).join(held.select("f").distinct(), F.col("file") == F.col("f"), "left_semi").select(
+        "file", "block", "row", F.octet_length("value").cast("long").alias("size"), raw.alias("raw"), F.xxhash64(raw).alias("mark")
     )
-    up_to = Window.partitionBy("file").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
-    last = [F.last(c, True).over(up_to).alias(c) for c in ("record", "next", "head", "length")]
-    held = marks.select("file", "at", "block", "row", "mark", *last).where("at < next")
-    held = stage(held.select(F.col("file").alias("f"), F.col("block").alias("b"), F.col("row").alias("r"), "mark", "at", "record", "head", "length"), "held")
-    again = pieces(spark, path).select("file", "block", "row", F.col("value").cast("binary").alias("raw"))
-    same = (F.col("file") == F.col("f")) & (F.col("block") == F.col("b")) & (F.col("row") == F.col("r"))
-    same &= F.xxhash64("raw") == F.col("mark")  # the scan may be split anew: never another piece
-    grouped = again.join(held, same).groupBy("f", "record").agg(
+    again = again.join(wanted, (F.col("file") == F.col("g")) & (F.col("mark") == F.col("m")), "left")
+    again = stage(again.select("file", "block", "row", "size", F.when(F.col("m").isNotNull(), F.col("raw")).alias("raw")), "again")
+    same = (F.col("file") == F.col("f")) & (F.col("at") == F.col("a"))
+    grouped = placed(again).where("raw is not null").join(held, same).groupBy("f", "record").agg(
         F.first("head").alias("head"), F.first("length").alias("length"),
         F.array_sort(F.collect_list(F.struct("at", "raw"))).alias("parts"),
     )

@@ -144,7 +144,7 @@ def test_broken_end_and_empty_archives(spark, tmp_path):
     assert warc.round_trip(empty).count() == 0
 
 
-def test_a_second_scan_that_is_split_otherwise_is_an_error(spark, tmp_path, monkeypatch):
+def test_a_second_scan_may_be_split_otherwise(spark, tmp_path, monkeypatch):
     rows = [(i, "u", f"{i}" * 150 + warc.MAGIC + "y" * 300) for i in range(20)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
     warc.write(df, str(tmp_path / "warc"))
@@ -157,10 +157,42 @@ def test_a_second_scan_that_is_split_otherwise_is_an_error(spark, tmp_path, monk
 
     monkeypatch.setattr(warc, "rejoined", elsewhere)
     try:
-        with pytest.raises(Exception, match="split anew"):
-            warc.read(spark, str(tmp_path / "warc")).collect()
+        again = warc.read(spark, str(tmp_path / "warc")).collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(again) == 20 and all(r.intact for r in again)
+    assert {r.page_id: r.payload_digest for r in again} == {i: hashlib.sha256(html.encode()).hexdigest() for i, _, html in rows}
+
+
+def test_an_archive_changed_between_two_scans_is_an_error(spark, tmp_path, monkeypatch):
+    rows = [(i, "u", f"{i}" * 150 + warc.MAGIC + "y" * 300) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write(df, str(tmp_path / "warc"))
+    mend = warc.rejoined
+
+    def changed(*args):
+        for file in (tmp_path / "warc").glob("part*"):
+            file.write_bytes(file.read_bytes().replace(b"y", b"z"))
+            (tmp_path / "warc" / f".{file.name}.crc").unlink(missing_ok=True)
+        return mend(*args)
+
+    monkeypatch.setattr(warc, "rejoined", changed)
+    with pytest.raises(Exception, match="changed between"):
+        warc.read(spark, str(tmp_path / "warc")).collect()
+
+
+def test_records_over_many_spans_and_bad_lengths(spark, tmp_path, monkeypatch):
+    """Held pieces find their record over several spans; a negative length ends the chain."""
+    monkeypatch.setattr(warc, "SPAN", 100)
+    rows = [(i, "u", (f"{i}" * 70 + warc.MAGIC + "1\r\n") * 9) for i in range(5)] + [(9, "u", "")]
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), str(tmp_path / "warc"))
+    read = warc.read(spark, str(tmp_path / "warc"))
+    assert {r.page_id: r.payload_digest for r in read.collect()} == {i: hashlib.sha256(html.encode()).hexdigest() for i, _, html in rows}
+    plan = warc.candidates(warc.pieces(spark, str(tmp_path / "warc")))._jdf.queryExecution().toString()
+    assert re.search(r"hashpartitioning\(file#\d+, block#", plan) and not re.search(r"hashpartitioning\(file#\d+, \d", plan)
+    (tmp_path / "odd.warc").write_bytes((FAKE + FAKE.replace("Content-Length: ", "Content-Length: -9") + FAKE).encode())
+    odd = warc.read(spark, str(tmp_path / "odd.warc")).collect()
+    assert len(odd) == 2
 
 
 # --- top-k -----------------------------------------------------------------------
