@@ -252,6 +252,51 @@ def forest_sql(source: str, row: str, d: int, trees: int, fit: str = "true", nam
     return ",\n".join(steps)
 
 
+def price_forest_sql(trees: int = 100, sample: int = 256) -> str:
+    """``price_score``: the score of every distinct price of a series, by trees on prices.
+
+    Trees of a series with more than ``sample`` prices see the share of them whose hash lies
+    in the tree's stretch of [0, 1). Nodes are aggregates; prices go down by joins on them.
+    """
+    depth = (sample - 1).bit_length()
+    unit = lambda key: f"(('0x' || substr(md5({key}), 1, 8))::UBIGINT / 4294967296.0::DOUBLE)"
+    label = unit("concat_ws('|', '42', product, region, floor(price * 10000)::BIGINT::VARCHAR)")
+    spot = unit("concat_ws('|', '42', tree::VARCHAR, product, region, node::VARCHAR)")
+    steps = [
+        f"""pf_prices AS MATERIALIZED (
+  SELECT product, region, price, w, {label} AS u, {sample}::DOUBLE / count(*) OVER ({G}) AS share, dense_rank() OVER (ORDER BY product, region) AS g
+  FROM (SELECT product, region, price, count(*) AS w FROM obs GROUP BY ALL)),
+pf_groups AS (SELECT DISTINCT g, product, region FROM pf_prices),
+pf0 AS MATERIALIZED (
+  SELECT g, price, w, tree, 1 AS node, share >= 1 OR (u + tree / {float(trees)}::DOUBLE) % 1.0::DOUBLE < share AS fit
+  FROM pf_prices, (SELECT unnest(range({trees})) AS tree)),
+pf_trees AS MATERIALIZED (
+  SELECT g, tree, sum(w) AS size, least(length(bin(greatest(count(*), 2) - 1)), {depth}) AS depth_limit FROM pf0 WHERE fit GROUP BY ALL)"""
+    ]
+    for level in range(depth + 1):
+        steps.append(
+            f"""pf{level}a AS (SELECT g, tree, node, min(price) AS lo, max(price) AS hi, sum(w) AS size FROM pf{level} WHERE fit GROUP BY ALL),
+pf{level}b AS (
+  SELECT a.*, {level} < depth_limit AND hi > lo AS inside, lo + {spot} * (hi - lo) AS point
+  FROM pf{level}a a JOIN pf_trees t USING (g, tree) JOIN pf_groups USING (g)),
+pf{level}c AS MATERIALIZED (SELECT *, CASE WHEN point > lo THEN point ELSE hi END AS cut FROM pf{level}b),
+pf{level}f AS (
+  SELECT g, price, sum({level} + {bonus("size")}) AS path, count(*) AS n
+  FROM pf{level} JOIN (SELECT g, tree, node, size FROM pf{level}c WHERE NOT inside) USING (g, tree, node) GROUP BY ALL),
+pf{level + 1} AS MATERIALIZED (
+  SELECT g, price, w, tree, 2 * node + (price >= cut)::INTEGER AS node, fit
+  FROM pf{level} JOIN (SELECT g, tree, node, cut FROM pf{level}c WHERE inside) USING (g, tree, node))"""
+        )
+    ends = " UNION ALL ".join(f"SELECT * FROM pf{level}f" for level in range(depth + 1))
+    steps.append(
+        f"""pf_psi AS (SELECT g, avg(size)::DOUBLE AS psi FROM pf_trees GROUP BY g),
+pf_paths AS (SELECT g, price, sum(path) / sum(n) AS path FROM ({ends}) GROUP BY ALL),
+price_score AS MATERIALIZED (
+  SELECT product, region, price, pow(2.0::DOUBLE, -path / ({bonus("psi")})) AS score FROM pf_paths JOIN pf_psi USING (g) JOIN pf_groups USING (g))"""
+    )
+    return ",\n".join(steps)
+
+
 def boundary_sql(source: str, row: str) -> str:
     """Mean kernel of each row with all rows of its series, pair by pair."""
     apart = " + ".join(f"(x{i} - y{i}) * (x{i} - y{i})" for i in range(6))
@@ -498,6 +543,13 @@ def oracle() -> dict[str, str]:
     q["write_parquet"] = f"WITH {PANEL} SELECT {KEYS}, {snap('price')}, record_count FROM panel"
     q["write_csv"] = f"WITH {KNOWN} SELECT {KEYS}, {snap('price')} FROM known"
     q["materialise_or_reuse"] = q["write_csv"]
+    q["validate_table"] = f"""WITH {OBS}, n AS (SELECT (SELECT count(*) FROM obs) AS o, (SELECT count(*) FROM obs WHERE date > TIMESTAMP '2100-01-01') AS late,
+        (SELECT count(*) FROM customer) AS c, (SELECT count(*) FROM supplier) AS s, (SELECT count(*) FROM region) AS r),
+      v(name, seen, least) AS (SELECT 'observations', o, c FROM n UNION ALL SELECT 'late', late, 1 FROM n
+      UNION ALL SELECT 'suppliers', s, c + 1 FROM n UNION ALL SELECT 'regions', r, 1000 FROM n)
+      SELECT name, CASE WHEN seen = 0 THEN 'DataFrame is None or empty.' WHEN seen >= least THEN 'true'
+      ELSE format('DataFrame has {{}} rows, expected at least {{}}.', seen, least) END AS verdict FROM v
+      UNION ALL SELECT 'no altitude', 'Missing required columns: [''altitude'', ''slope'']'"""
     regions_dim = """(VALUES ('Alger', 'ALG', 36.7538, 16), ('Oran', 'ORA', 35.6969, 31), ('Constantine', 'CON', 36.3650, 25),
         ('Annaba', 'ANN', 36.9000, 23), ('Tlemcen', 'TLE', 34.8828, 13), ('Sétif', 'SET', 36.1833, 19), ('Blida', 'BLI', 36.4703, 9),
         ('Batna', 'BAT', 35.5560, 5), ('Biskra', 'BIS', 34.8500, 7), ('Béjaïa', 'BEJ', 36.7509, 6)) AS t(region, code, latitude, province)"""
@@ -561,6 +613,15 @@ def oracle() -> dict[str, str]:
       WHERE price BETWEEN q1 - 3 * (q3 - q1) AND q3 + 3 * (q3 - q1)"""
     q["outlier_zscore"] = f"""WITH {OBS}, b AS (SELECT product, region, avg(price) AS m, stddev_samp(price) AS sd FROM obs GROUP BY 1, 2)
       SELECT {row}, {snap("price")} FROM obs JOIN b USING (product, region) WHERE sd = 0 OR abs((price - m) / sd) <= 3"""
+    q["outlier_isolation"] = f"""WITH {OBS}, {price_forest_sql()},
+      r AS (SELECT obs.*, score, count(*) OVER ({G}) AS n FROM obs JOIN price_score USING (product, region, price)),
+      cuts AS (SELECT product, region, quantile_cont(score, 0.95) AS cut FROM r GROUP BY 1, 2)
+      SELECT {row}, {snap("price")} FROM r JOIN cuts USING (product, region) WHERE n < 10 OR score <= cut + 1e-12"""
+    q["outlier_dispatch"] = f"""WITH {OBS}, b AS (SELECT product, region, quantile_cont(price, 0.25) AS q1, quantile_cont(price, 0.75) AS q3,
+        avg(price) AS m, stddev_samp(price) AS sd FROM obs GROUP BY 1, 2), o AS (SELECT * FROM obs JOIN b USING (product, region)),
+      k AS (SELECT 'iqr' AS method, * FROM o WHERE price BETWEEN q1 - 0.5 * (q3 - q1) AND q3 + 0.5 * (q3 - q1)
+      UNION ALL SELECT 'zscore', * FROM o WHERE sd = 0 OR abs((price - m) / sd) <= 1.5 UNION ALL SELECT 'unheard-of', * FROM o)
+      SELECT method, product, region, count(*) AS n_rows, {s("avg(price)")} AS price FROM k GROUP BY 1, 2, 3"""
     q["filter_sparse_groups"] = f"""WITH {OBS} SELECT {row}, {snap("price")} FROM obs
       QUALIFY count(*) OVER ({G}) >= (SELECT avg(n) FROM (SELECT count(*) AS n FROM obs GROUP BY product, region))"""
     q["clean_prices"] = f"""WITH {OBS}, d AS (SELECT DISTINCT date, product, region, market, price, price_usd FROM obs
@@ -589,6 +650,7 @@ def oracle() -> dict[str, str]:
     q["price_vs_national"] = on_panel([NATIONAL])
     for method in ("minmax", "standard", "robust"):
         q[f"normalise_{method}"] = on_panel([("price_norm", norm_sql(method))])
+    q["normalise_unknown"] = q["normalise_minmax"]
     q["simple_features"] = on_panel([change_sql(1), change_sql(12), ("rolling_3m", f"avg(price) OVER {last(3)}")])
     q["build_features"] = f"""WITH {FEATURES} SELECT {KEYS}, {snap("price", *FEATURE_NAMES, *TRIG)},
       {", ".join(n for n, _ in CALENDAR if n not in TRIG)} FROM features"""

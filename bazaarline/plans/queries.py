@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,7 +17,7 @@ from ..functions.events import add_event_flag, add_yearly_flag
 from ..functions.scalars import format_price, signed_percent, snap
 from ..functions.staging import new_path, spread, stage
 from ..operators import analytics, anomaly, boundary, changepoints, chunks, cleaning, features, forecast, gram, isolation, names, recurrent, window_model
-from ..sources import dimensions, incremental, readers, sinks
+from ..sources import dimensions, incremental, readers, sinks, validate
 from . import tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -174,6 +175,27 @@ def materialise_or_reuse(spark, sf_dir):
     return snapped(readers.materialise_or_reuse(spark, path, build))
 
 
+@query
+def validate_table(spark, sf_dir):
+    """Verdicts on tables as they are, without rows, without a column, and against the size of another."""
+    customers = tables.read(spark, sf_dir, "customer")
+    cases = [
+        ("observations", tables.observations(spark, sf_dir), ["date", "product", "region", "price"], customers.count()),
+        ("late", tables.observations(spark, sf_dir).where("date > '2100-01-01'"), ["date"], 1),
+        ("no altitude", tables.panel(spark, sf_dir), ["price", "altitude", "slope"], 1),
+        ("suppliers", tables.read(spark, sf_dir, "supplier"), ["s_suppkey"], customers.count() + 1),
+        ("regions", tables.read(spark, sf_dir, "region"), ["r_name"], 1000),
+    ]
+    return spark.createDataFrame([(name, _verdict(*case)) for name, *case in cases], "name string, verdict string")
+
+
+def _verdict(df, required, min_rows):
+    try:
+        return str(validate.validate_table(df, required, min_rows)).lower()
+    except ValueError as error:
+        return str(error)
+
+
 @query
 def dimension_ranges(spark, sf_dir):
     """Prices inside and outside a typical range kept as an array in the product dimension."""
@@ -287,6 +309,17 @@ def outlier_zscore(spark, sf_dir):
     return snapped(cleaning.outlier_zscore(tables.prices(spark, sf_dir)))
 
 
+@query
+def outlier_dispatch(spark, sf_dir):
+    """What each method leaves of every series; the last name is unknown and removes nothing."""
+    rows, left = tables.prices(spark, sf_dir), []
+    for method, threshold in (("iqr", 0.5), ("zscore", 1.5), ("unheard-of", 3.0)):
+        kept = cleaning.remove_outliers(rows, method, threshold)
+        figures = [F.count("*").alias("n_rows"), F.avg("price").alias("price")]
+        left.append(kept.groupBy("product", "region").agg(*figures).withColumn("method", F.lit(method)))
+    return snapped(reduce(DataFrame.unionByName, left))
+
+
 @query
 def outlier_isolation(spark, sf_dir):
     return snapped(cleaning.outlier_isolation(tables.prices(spark, sf_dir)))
@@ -378,6 +411,7 @@ QUERIES["price_vs_national"] = _on_panel(features.price_vs_national)
 QUERIES["normalise_minmax"] = _on_panel(lambda df: features.normalise(df, "minmax"))
 QUERIES["normalise_standard"] = _on_panel(lambda df: features.normalise(df, "standard"))
 QUERIES["normalise_robust"] = _on_panel(lambda df: features.normalise(df, "robust"))
+QUERIES["normalise_unknown"] = _on_panel(lambda df: features.normalise(df, "unheard-of"))
 QUERIES["simple_features"] = _on_panel(features.simple_features)
 QUERIES["build_features"] = _on_panel(features.build_features)
 

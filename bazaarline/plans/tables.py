@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -10,8 +11,13 @@ from ..functions.staging import stage, work_dir
 from ..operators.cleaning import aggregate_monthly
 from ..operators.features import pct_change_features
 from ..operators.anomaly import score_panel
+from ..settings import Settings
+from ..sources.incremental import source_files
 from ..sources.readers import materialise_or_reuse
 
+#: The tables behind the observations.
+SOURCES = ["lineitem", "part", "supplier", "nation", "region"]
+
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -87,19 +93,24 @@ def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pct_change_features(known_panel(spark, sf_dir), (1,))
 
 
-def version(df: DataFrame) -> str:
-    """Digest of the files behind a table: names, lengths and times of change."""
-    context = df.sparkSession.sparkContext
-    marks = []
-    for name in sorted(df.inputFiles()):
-        path = context._jvm.org.apache.hadoop.fs.Path(name)
-        status = path.getFileSystem(context._jsc.hadoopConfiguration()).getFileStatus(path)
-        marks.append(f"{name} {status.getLen()} {status.getModificationTime()}")
-    return hashlib.sha256("\n".join(marks).encode()).hexdigest()[:24]
+def version(spark: SparkSession, sources: Sequence[str], settings: Settings = Settings()) -> str:
+    """Digest of settings and of the files under some paths: names, lengths and times of change.
+
+    Tasks list the files and hash them; one sum of each path's hashes comes to the driver.
+    """
+    marks = [F.col("file"), F.col("length"), F.col("modified")]
+    parts = [repr(settings)]
+    for source in sources:
+        each = source_files(spark, source).select(F.xxhash64(*marks).cast("decimal(38,0)").alias("mark"))
+        parts.append(f"{source} {each.agg(F.count('*'), F.sum('mark')).first()}")
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()[:24]
 
 
-def scored_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The scored panel, kept in the shared folder for as long as its tables don't change."""
+def scored_panel(spark: SparkSession, sf_dir: str, settings: Settings = Settings(), path: str | None = None) -> DataFrame:
+    """The scored panel, kept in the shared folder for as long as tables and settings stay the same.
+
+    ``path`` names a scored table of the caller's own, which is then read or made as it is.
+    """
     rows = changes(spark, sf_dir)
-    path = f"{work_dir(spark)}/scored-{version(observations(spark, sf_dir))}"
-    return materialise_or_reuse(spark, path, lambda: score_panel(stage(rows, "panel")))
+    path = path or f"{work_dir(spark)}/scored-{version(spark, [f'{sf_dir}/{t}.parquet' for t in SOURCES], settings)}"
+    return materialise_or_reuse(spark, path, lambda: score_panel(stage(rows, "panel"), settings))

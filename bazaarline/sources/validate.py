@@ -6,6 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+#: Rows that a limit may bring to one task.
+FEW = 10_000
+
 
 def require_columns(df: DataFrame | None, required: Sequence[str]) -> None:
     """Schema check only; starts no job."""
@@ -17,12 +20,17 @@ def require_columns(df: DataFrame | None, required: Sequence[str]) -> None:
 
 
 def validate_table(df: DataFrame | None, required: Sequence[str], min_rows: int = 1) -> bool:
-    """Columns as above, and at least ``min_rows`` rows (reads no more than that)."""
+    """Columns as above, and at least ``min_rows`` rows.
+
+    Up to ``FEW`` rows no more than that are read; beyond it all are counted, in every task,
+    since a limit would bring its rows to one.
+    """
     if df is not None and df.columns and df.isEmpty():
         raise ValueError("DataFrame is None or empty.")
     require_columns(df, required)
     if min_rows > 1:
-        seen = df.select(df.columns[0]).limit(min_rows).count()
+        narrow = df.select(df.columns[0])
+        seen = (narrow.limit(min_rows) if min_rows <= FEW else narrow).count()
         if seen < min_rows:
             raise ValueError(f"DataFrame has {seen} rows, expected at least {min_rows}.")
     return True

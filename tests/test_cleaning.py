@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from bazaarline.functions.quantiles import group_quantiles
 from bazaarline.operators import cleaning as C
 from bazaarline.plans import tables
-from bazaarline.plans.oracle import OBS, forest_sql
+from bazaarline.plans.oracle import OBS, forest_sql, price_forest_sql
 from bazaarline.settings import Settings
 from check import connect
 from conftest import SMALL, months
@@ -135,6 +135,19 @@ def test_isolation_outliers_equal_brute_force(spark):
     assert got == want and len(got) < tables.prices(spark, SMALL).count()
 
 
+def test_isolation_outliers_of_sampled_trees_equal_sql(spark):
+    """Trees that see 16 of a group's prices: sampled, grown and scored alike in SQL."""
+    sql = f"""WITH {OBS}, {price_forest_sql(50, 16)},
+      r AS (SELECT obs.product, obs.region, obs.price, score, count(*) OVER (PARTITION BY obs.product, obs.region) AS n
+        FROM obs JOIN price_score p ON obs.product = p.product AND obs.region = p.region AND obs.price = p.price),
+      q AS (SELECT product, region, quantile_cont(score, 0.95) AS cut FROM r GROUP BY 1, 2)
+      SELECT product, region, price FROM r JOIN q USING (product, region) WHERE n < 10 OR score <= cut + 1e-12"""
+    want = sorted((a, b, round(c, 6)) for a, b, c in connect(SMALL).execute(sql).fetchall())
+    rows = tables.prices(spark, SMALL)
+    got = sorted((r.product, r.region, round(r.price, 6)) for r in C.outlier_isolation(rows, trees=50, sample=16).collect())
+    assert got == want and 0 < len(got) < rows.count()
+
+
 def test_isolation_outliers_sampled_group(spark):
     rng = np.random.default_rng(5)
     prices = np.r_[rng.normal(100, 5, 4000), [1000.0, 2000.0, 5.0]]

@@ -3,8 +3,11 @@ import json
 import pytest
 
 from bazaarline.functions.staging import stage, work_dir
+from bazaarline.plans import tables
+from bazaarline.settings import Settings
 from bazaarline.sources import dimensions, readers, sinks
 from bazaarline.sources.validate import validate_table
+from conftest import SMALL
 
 
 def test_scan_json_filters_and_types(spark, tmp_path):
@@ -78,6 +81,25 @@ def test_validate(spark, panel):
         validate_table(panel, ["price", "nope"])
     with pytest.raises(ValueError, match="at least"):
         validate_table(panel.limit(1), ["price"], 5)
+    assert validate_table(spark.range(30_000), ["id"], 30_000)
+    with pytest.raises(ValueError, match="has 30000 rows, expected at least 30001"):
+        validate_table(spark.range(30_000), ["id"], 30_001)
+
+
+def test_version_follows_files_and_settings(spark, tmp_path):
+    source = str(tmp_path / "prices.parquet")
+    spark.range(10).coalesce(1).write.parquet(source)
+    first = tables.version(spark, [source])
+    assert tables.version(spark, [source]) == first and len(first) == 24
+    assert tables.version(spark, [source], Settings(trees=7)) != first
+    spark.range(3).coalesce(1).write.mode("append").parquet(source)
+    assert tables.version(spark, [source]) != first
+
+
+def test_scored_panel_reads_the_callers_table(spark, tmp_path):
+    path = str(tmp_path / "scored")
+    spark.createDataFrame([("P", 0.5)], "product string, anomaly_score double").write.parquet(path)
+    assert [tuple(r) for r in tables.scored_panel(spark, SMALL, path=path).collect()] == [("P", 0.5)]
 
 
 def test_dimensions(spark):
