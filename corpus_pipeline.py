@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from bazaarline.functions.staging import stage as written
+from bazaarline.functions.staging import new_path, scratch
 from bazaarline.llm import packing, quality, secret_ledger, simhash
 from bazaarline.llm.queries import BYTE, BYTE_RANKS, read
 
@@ -50,7 +50,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; what a stage staged on its way goes once its rows are written."""
     docs = read(spark, sf_dir, "documents")
     for name, function in STAGES:
-        docs = written(function(spark, docs, sf_dir), name)
+        path = new_path(spark, name)
+        with scratch(spark):
+            made = function(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
     return docs
