@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from bazaarline.functions import staging
 from bazaarline.llm import quality
 from bazaarline.llm.queries import BYTE, QUERIES
 from odd import SMALL, no_docs, odd_docs
@@ -135,3 +136,9 @@ def test_pipeline_takes_odd_and_empty_documents(spark, odd_docs, no_docs):
 def test_run(spark):
     made = corpus_pipeline.run(spark, SMALL)
     assert made.count() > 100 and {"doc_id", "ids", "sequence_id", "offset"} <= set(made.columns)
+
+
+def test_pipeline_leaves_only_its_stages(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(staging, "work_dir", lambda _: staging._scratch.get() or str(tmp_path))
+    assert corpus_pipeline.run(spark, SMALL).count() > 0
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == sorted(name for name, _ in corpus_pipeline.STAGES)
