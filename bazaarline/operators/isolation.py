@@ -8,9 +8,11 @@ hashes, so a fit is the same on any partitioning.
 The fitted table has one row per group. Its ``forest`` holds the nodes of all
 trees in flat arrays: the feature and cut of a node, the place of its left child
 (the right one follows; 0 marks a leaf) and a leaf's depth; ``roots`` are the
-places of the tree tops. Scoring a row walks these arrays in one column expression:
-rows are neither opened nor grouped again, so equal rows stay apart and a join of
-rows with forests is free to split a large group.
+places of the tree tops. Scoring a row of several features walks these arrays in one
+column expression. With one feature the depth is a step function of it, so the trees
+are added up to steps once a group, and a row looks its step up by two small joins.
+Either way rows are neither opened nor grouped again, so equal rows stay apart and a
+join of rows with forests is free to split a large group.
 """
 
 from __future__ import annotations
@@ -31,6 +33,8 @@ FOREST = (
     "roots array<int>, feature array<int>, cut array<double>, left array<int>, "
     "value array<double>, psi double"
 )
+BLOCK = 160  # steps in a row of a step table; 100 trees of 256 rows have up to 25,500
+STEPS = "_block int, _at array<double>, _depth array<double>"
 
 
 def path_bonus(n: Column) -> Column:
@@ -46,23 +50,29 @@ def _draw(
     """The sampled rows, each with the array of trees that see it.
 
     A row has one hash in [0, 1); tree t takes the hashes in a stretch of length
-    sample / n that starts at t / trees, wrapping around.
+    sample / n that starts at t / trees, wrapping around. Only the trees whose start
+    is near enough are tried.
     """
     if sizes is None:
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         sized = df.join(stage(counts, "sizes"), list(keys))
     else:
         sized = df.withColumn("_n", F.col(sizes))
-    share = F.lit(sample) / F.col("_n")
-    seen_by = lambda t: (F.col("_share") >= 1.0) | (
-        F.pmod(F.col("_u") + t / F.lit(float(trees)), F.lit(1.0)) < F.col("_share")
-    )
-    return (
-        sized.withColumn("_u", hash_unit(F.concat_ws("|", F.lit(str(seed)), *keys, label)))
-        .withColumn("_share", share)
-        .withColumn("_trees", F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), seen_by))
-        .where(F.size("_trees") > 0)
-    )
+    unit = hash_unit(F.concat_ws("|", F.lit(str(seed)), *keys, label))
+
+    def seeing(row: Column) -> Column:
+        u, share = row["u"], row["share"]
+        near = F.least(F.ceil(share * trees) + 3, F.lit(trees)).cast("int")
+        first = F.floor((1 - u) * trees).cast("int") - 1
+        tried = F.transform(F.sequence(F.lit(0), near - 1), lambda i: F.pmod(first + i, F.lit(trees)))
+        return F.filter(
+            tried, lambda t: (share >= 1.0) | (F.pmod(u + t / F.lit(float(trees)), F.lit(1.0)) < share)
+        )
+
+    # as the variable of a lambda the hash is made once a row, not once a tree
+    row = F.struct(unit.alias("u"), (F.lit(sample) / F.col("_n")).alias("share"))
+    seen = F.get(F.transform(F.array(row), seeing), F.lit(0))
+    return sized.withColumn("_trees", seen).where(F.size("_trees") > 0)
 
 
 def _units(keys: Iterable[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -179,13 +189,70 @@ def isolation(x: Column, forest: Column, psi: Column, sample: int = SAMPLE) -> C
     for _ in range(levels_of(sample)):
         at = F.transform(at, below)
     depth = F.aggregate(at, F.lit(0.0), lambda total, leaf: total + F.get(forest["value"], leaf - 1))
-    return F.pow(F.lit(2.0), -(depth / F.size(forest["roots"])) / path_bonus(psi))
+    return _score(depth, F.size(forest["roots"]), psi)
+
+
+def _score(depth: Column, trees: Column, psi: Column) -> Column:
+    return F.pow(F.lit(2.0), -(depth / trees) / path_bonus(psi))
+
+
+def _steps(keys: Sequence[str], sample: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """The summed depth of a group's trees of one feature, as steps: from ``_at`` on it is ``_depth``.
+
+    Depths are added up in the order of the trees. Block 0 holds the depth of a missing value.
+    """
+
+    def stepped(group: pd.DataFrame) -> pd.DataFrame:
+        name = [group[k].iloc[0] for k in keys]
+        roots, cut, left, value = (np.asarray(group[c].iloc[0]) for c in ("roots", "cut", "left", "value"))
+        inner = np.flatnonzero(left)
+        # a tree's own steps start at its cuts and below all of them
+        tree = np.r_[np.searchsorted(roots, inner + 1, "right") - 1, np.arange(len(roots))]
+        x = np.r_[cut[inner], np.full(len(roots), -np.inf)]
+        order = np.lexsort((x, tree))
+        tree, x = tree[order], x[order]
+        at = roots[tree] - 1
+        for _ in range(levels_of(sample)):
+            at = np.where(left[at] > 0, left[at] - 1 + (x >= cut[at]), at)
+        starts, depth = np.unique(x), 0.0
+        tops = np.flatnonzero(np.r_[True, tree[1:] != tree[:-1]])
+        for a, b in zip(tops, np.r_[tops[1:], len(tree)]):
+            depth = depth + value[at[a:b]][np.searchsorted(x[a:b], starts, "right") - 1]
+        missing = 0.0
+        for root in roots:
+            missing += value[root - 1]
+        out = [(*name, 0, [], [missing])]
+        for block, a in enumerate(range(0, len(starts), BLOCK), 1):
+            out.append((*name, block, starts[a : a + BLOCK], depth[a : a + BLOCK]))
+        return pd.DataFrame(out)
+
+    return stepped
+
+
+def _add_step_score(
+    df: DataFrame, forest: DataFrame, keys: list[str], feature: str, out: str, sample: int
+) -> DataFrame:
+    """Two look-ups in arrays of about the root of the number of steps: the block, then the step."""
+    types = ", ".join(f"{k} {dict(forest.dtypes)[k]}" for k in keys)
+    nodes = forest.select(*keys, *[f"forest.{c}" for c in ("roots", "cut", "left", "value")])
+    steps = spread(nodes, *keys).groupBy(*keys).applyInPandas(_steps(keys, sample), f"{types}, {STEPS}")
+    steps = stage(steps, "steps")
+    blocks = steps.where("_block > 0").groupBy(*keys).agg(F.array_sort(F.collect_list(F.get("_at", F.lit(0)))).alias("_blocks"))
+    figures = forest.select(*keys, F.size("forest.roots").alias("_roots"), F.col("psi").alias("_psi"))
+    tops = stage(blocks.join(figures, keys), "blocks")
+    upto = lambda starts: F.size(F.filter(starts, lambda at: at <= F.col(feature)))
+    placed = df.join(tops, keys, "left").withColumn("_block", upto("_blocks")).drop("_blocks")
+    depth = F.get("_depth", F.greatest(upto("_at") - 1, F.lit(0)))
+    found = placed.join(steps, [*keys, "_block"], "left")
+    return found.select(*df.columns, _score(depth, F.col("_roots"), F.col("_psi")).alias(out))
 
 
 def add_isolation_score(
     df: DataFrame, forest: DataFrame, keys: Sequence[str], features: Sequence[str], out: str, sample: int = SAMPLE
 ) -> DataFrame:
     """Adds the score of every row; rows of a group without a forest get none."""
+    if len(features) == 1:
+        return _add_step_score(df, forest, list(keys), features[0], out, sample)
     nodes = forest.select(*keys, F.col("forest").alias("_forest"), F.col("psi").alias("_psi"))
     joined = df.join(nodes, list(keys), "left").withColumn("_x", F.array(*features))
     score = isolation(F.col("_x"), F.col("_forest"), F.col("_psi"), sample)

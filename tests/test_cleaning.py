@@ -236,3 +236,34 @@ def final_plan(df):
     made = df.select("s")
     made._jdf.queryExecution().executedPlan().executeCollectPublic()
     return made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_feature_is_scored_by_steps_without_the_forest(spark):
+    """Equal to the walk down the trees, bit for bit; what a row meets is a block of steps."""
+    from bazaarline.operators import isolation as I
+    from bazaarline.functions.staging import stage
+
+    value = F.when(F.col("id") % 3 > 0, F.xxhash64("id") % 5000 / 7.0).otherwise(F.col("id") % 11 + 0.5)
+    rows = stage(spark.range(4000).select(F.when(F.col("id") > 2, "hot").otherwise("few").alias("g"), value.alias("x"), F.col("id").cast("string").alias("text")))
+    forest = stage(I.fit_forest(rows, ["g"], ["x"], F.col("text"), trees=30))
+    odd = [("hot", v) for v in (None, float("nan"), float("inf"), -float("inf"), -1e9, 0.5)] + [("few", None), ("few", 3.0), ("none", 1.0), (None, 1.0)]
+    asked = rows.select("g", "x").unionByName(spark.createDataFrame(odd, "g string, x double"))
+    nodes = forest.withColumnsRenamed({"forest": "f", "psi": "p"})
+    walked = asked.join(nodes, ["g"], "left").select("g", "x", I.isolation(F.array("x"), F.col("f"), F.col("p")).alias("s"))
+    scored = I.add_isolation_score(asked, forest, ["g"], ["x"], "s")
+    plain = lambda df: sorted(map(repr, map(tuple, df.collect())))
+    assert plain(scored) == plain(walked) and scored.where("s is null").count() == 2
+    plan = scored._jdf.queryExecution().analyzed().toString()
+    assert "forest" not in plan and "_depth" in plan
+
+
+@pytest.mark.parametrize("n", [1, 20, 256, 300, 5000])
+def test_drawn_trees_are_all_whose_stretch_holds_the_hash(spark, n):
+    from bazaarline.functions.scalars import hash_unit
+    from bazaarline.operators.isolation import _draw
+
+    rows = spark.range(n).select(F.lit("g").alias("g"), F.col("id").cast("string").alias("text"))
+    got = {r.text: sorted(r._trees) for r in _draw(rows, ["g"], F.col("text"), 100, 7, None, 256).collect()}
+    hashes = rows.select("text", hash_unit(F.concat_ws("|", F.lit("7"), "g", "text")).alias("u")).collect()
+    want = {r.text: [t for t in range(100) if 256 / n >= 1 or (r.u + t / 100.0) % 1.0 < 256 / n] for r in hashes}
+    assert got == {k: v for k, v in want.items() if v}
