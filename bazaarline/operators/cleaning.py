@@ -23,6 +23,8 @@ from .isolation import SAMPLE, add_isolation_score, fit_forest
 GROUP = ["product", "region"]
 FINE_GROUP = ["product", "region", "market"]
 SLOTS = 64  # pieces of one midnight, and of the rest of that day, in interpolation
+SPAN = 64  # days that a chunk of interpolation may cover
+FULL = 4096  # rows over which a span is cut into days, and a day into slots
 
 
 def standardise_types(
@@ -78,70 +80,105 @@ def impute_interpolate(df: DataFrame, tie: Column | None = None) -> DataFrame:
 
     Rows are ordered by date within (product, region, market); rows of one date
     are ordered by ``tie``, a whole number (first its remainder by ``SLOTS``), by
-    default a hash of their other columns. A chunk is one slot of a day:
-    a share of the hashes at midnight, a stretch of time after it. Positions and
-    known prices at chunk borders come from a table with a row per chunk, which
-    the calendar bounds, so a group's rows are never brought together. Copies of
-    one row share a hash: drop exact duplicates first.
+    default a hash of their other columns. A chunk is a span of ``SPAN`` days; in a
+    span of over ``FULL`` rows it is a day, and in a day of over ``FULL`` rows one
+    slot of it: a share of the hashes at midnight, a stretch of time after it.
+    Positions and known prices at chunk borders come from a table with a row per
+    chunk, which the calendar bounds, so a group's rows are never brought together.
+    Copies of one row share a hash: drop exact duplicates first.
     """
     keys = present(df, FINE_GROUP)
     rest = [c for c in df.columns if c not in (*keys, "date", "price")]
     source = df.withColumn("price", known(df, "price")).dropna(subset=keys or None)
     if tie is None:
         tie = F.xxhash64(*rest, "price") if rest else F.xxhash64("price")
-    chunk = [*keys, "_day", "_slot"]
-    inside = W.partitionBy(*chunk).orderBy("date", "_tie", *rest, "price")
+    day = F.to_date("date")
+    span = F.floor(F.datediff(day, F.lit("1970-01-01").cast("date")) / SPAN)
+    full = stage(full_spans(source.select(*keys, day.alias("_day"), span.alias("_span")), keys), "full-spans")
+    chunk = [*keys, "_from", "_slot"]
     second = F.hour("date") * 3600 + F.minute("date") * 60 + F.second("date")
     timed = SLOTS + F.floor(second * SLOTS / 86400)
     midnight = F.col("date") == F.col("_day")
-    place = F.struct(F.col("_pos").alias("pos"), F.col("price").alias("price"))
-    known_place = F.when(F.col("price").isNotNull(), place)
+    cut = F.array_contains("_cut_days", F.col("_day"))
+    placed = (
+        source.withColumns({"_tie": tie, "_day": day, "_span": span})
+        .join(full, [*keys, "_span"], "left")
+        .withColumn("_place", F.when(midnight, F.pmod("_tie", F.lit(SLOTS))).otherwise(timed))
+        .withColumn("_from", F.when(F.col("_cut_days").isNotNull(), F.datediff("_day", F.lit("1970-01-01").cast("date"))).otherwise(F.col("_span") * SPAN))
+        .withColumn("_slot", F.when(cut, F.col("_place")).otherwise(-1))
+        .select(*df.columns, *chunk[len(keys) :], "_day", "_place", "_tie")
+    )
+    order = ["_day", "_place", "date", "_tie", *rest, "price"]
+    inside = W.partitionBy(*chunk).orderBy(*order)
+    # position and price of the nearest known row before and after, for rows without a price
+    gap = F.col("price").isNull()
+    quoted = lambda names: ", ".join(f"`{n.replace('`', '``')}`" for n in names)
+    ahead = f"lead(_known) ignore nulls over (partition by {quoted(chunk)} order by {quoted(order)})"
     rows = (
-        source.withColumn("_tie", tie)
-        .withColumn("_day", F.to_date("date"))
-        .withColumn("_slot", F.when(midnight, F.pmod("_tie", F.lit(SLOTS))).otherwise(timed))
-        .withColumn("_pos", F.row_number().over(inside))
-        .withColumn("_known", known_place)
+        placed.withColumn("_pos", F.row_number().over(inside))
+        .withColumn("_known", F.when(~gap, F.struct(F.col("_pos").alias("pos"), F.col("price").alias("price"))))
+        .withColumns(
+            {
+                "_a": F.last("_known", ignorenulls=True).over(inside.rowsBetween(W.unboundedPreceding, 0)),
+                "_b": F.expr(ahead),
+            }
+        )
+        .withColumns({"_a": F.when(gap, F.col("_a")), "_b": F.when(gap, F.col("_b")), "_placed": F.col("_place").isNotNull()})
+        .select(*df.columns, *chunk[len(keys) :], "_pos", "_a", "_b", "_placed")
     )
-    along = W.partitionBy(*keys).orderBy("_day", "_slot")
+    rows = stage(rows, "gaps")  # sorted once, read for the borders and for the result
+    along = W.partitionBy(*keys).orderBy("_from", "_slot")
     before = along.rowsBetween(W.unboundedPreceding, -1)
-    after = along.rowsBetween(1, W.unboundedFollowing)
     moved = lambda name: F.when(
         F.col(name).isNotNull(),
         F.struct((F.col(f"{name}.pos") + F.col("_skip")).alias("pos"), F.col(f"{name}.price").alias("price")),
     )
+    at = F.when(~gap, F.col("_pos"))
+    end = lambda pos, price: F.when(pos.isNotNull(), F.struct(pos.alias("pos"), price.alias("price")))
     borders = (
         rows.groupBy(*chunk)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_known").alias("_first"), F.max("_known").alias("_last"))
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            end(F.min(at), F.min_by("price", at)).alias("_first"),
+            end(F.max(at), F.max_by("price", at)).alias("_last"),
+        )
         .withColumn("_skip", F.coalesce(F.sum("_n").over(before), F.lit(0)))
         .withColumns({"_first": moved("_first"), "_last": moved("_last")})
         .withColumns(
             {
                 "_prev_chunk": F.last("_last", ignorenulls=True).over(before),
-                "_next_chunk": F.first("_first", ignorenulls=True).over(after),
+                "_next_chunk": F.expr(f"lead(_first) ignore nulls over (partition by {quoted(keys) or 'null'} order by _from, _slot)"),
             }
         )
         .select(*chunk, "_skip", "_prev_chunk", "_next_chunk")
     )
-    joined = rows.join(borders, chunk).withColumn("_at", F.col("_pos") + F.col("_skip")).withColumn("_known", moved("_known"))
-    up = inside.rowsBetween(W.unboundedPreceding, 0)
-    down = inside.rowsBetween(0, W.unboundedFollowing)
-    ends = joined.withColumns(
-        {
-            "_a": F.coalesce(F.last("_known", ignorenulls=True).over(up), F.col("_prev_chunk")),
-            "_b": F.coalesce(F.first("_known", ignorenulls=True).over(down), F.col("_next_chunk")),
-        }
+    ends = (
+        rows.join(stage(borders, "borders"), chunk)
+        .withColumn("_at", F.col("_pos") + F.col("_skip"))
+        .withColumns({"_a": F.coalesce(moved("_a"), F.col("_prev_chunk")), "_b": F.coalesce(moved("_b"), F.col("_next_chunk"))})
     )
     run = F.col("_b.pos") - F.col("_a.pos")
     line = F.col("_a.price") + (F.col("_b.price") - F.col("_a.price")) * (
         (F.col("_at") - F.col("_a.pos")) / run
     )
     filled = F.coalesce(F.col("price"), F.when(run > 0, line), F.col("_a.price"), F.col("_b.price"))
+    # rows without a date or a tie count as positions, but have no place of their own
     return (
-        ends.withColumn("price", filled).where("price is not null").select(*df.columns)
+        ends.withColumn("price", filled).where("price is not null and _placed").select(*df.columns)
     )
 
 
+def full_spans(days: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Spans of over ``FULL`` rows, with those of their days that have as many: ``_cut_days``.
+
+    A table of at most a row for each ``FULL`` rows.
+    """
+    counts = days.groupBy(*keys, "_span", "_day").agg(F.count(F.lit(1)).alias("_n"))
+    cut = F.collect_list(F.when(F.col("_n") > FULL, F.col("_day")))
+    spans = counts.groupBy(*keys, "_span").agg(F.sum("_n").alias("_rows"), cut.alias("_cut_days"))
+    return spans.where(F.col("_rows") > FULL).drop("_rows")
+
+
 IMPUTERS = {
     "interpolate": impute_interpolate,
     "mean": impute_mean,

@@ -267,3 +267,32 @@ def test_drawn_trees_are_all_whose_stretch_holds_the_hash(spark, n):
     hashes = rows.select("text", hash_unit(F.concat_ws("|", F.lit("7"), "g", "text")).alias("u")).collect()
     want = {r.text: [t for t in range(100) if 256 / n >= 1 or (r.u + t / 100.0) % 1.0 < 256 / n] for r in hashes}
     assert got == {k: v for k, v in want.items() if v}
+
+
+@pytest.mark.parametrize("full, chunks", [(10_000, (9, 9)), (60, (150, 2600))])
+def test_interpolation_cuts_only_full_spans_and_days(spark, monkeypatch, full, chunks):
+    """A sparse series has a chunk per span of days; a hot one is cut into days and slots."""
+    rng, rows = np.random.default_rng(4), []
+    for i in range(2400):
+        hot = i < 1500
+        day = 3 if i < 400 else int(rng.integers(0, 45 if hot else 160))
+        minutes = int(rng.integers(0, 1440)) if i % 2 else 0
+        when = datetime(1970, 1, 1) + timedelta(days=day, minutes=minutes)
+        price = None if rng.random() < 0.5 else float(rng.uniform(1, 100))
+        rows.append((when, "hot" if hot else f"p{i % 3}", "R", "m", i, price))
+    if full == 10_000:
+        rows = [r for r in rows if r[1] != "hot"]
+    staged, plain = {}, C.stage
+    monkeypatch.setattr(C, "stage", lambda df, name="stage": staged.setdefault(name, plain(df, name)))
+    monkeypatch.setattr(C, "FULL", full)
+    df = spark.createDataFrame(rows, "date timestamp_ntz, product string, region string, market string, id int, price double")
+    got = {r.id: r.price for r in C.impute_interpolate(df, F.col("id")).collect()}
+    pdf = df.toPandas()
+    second = pdf["date"].dt.hour * 3600 + pdf["date"].dt.minute * 60
+    pdf["day"] = pdf["date"].dt.normalize()
+    pdf["place"] = np.where(second == 0, pdf["id"] % C.SLOTS, C.SLOTS + second * C.SLOTS // 86400)
+    pdf = pdf.sort_values(["day", "place", "date", "id"])
+    want = pdf.groupby("product")["price"].transform(lambda s: s.interpolate(method="linear").ffill().bfill())
+    assert got == pytest.approx(dict(zip(pdf["id"], want)))
+    assert chunks[0] <= staged["borders"].count() <= chunks[1]
+    assert (staged["full-spans"].count() > 0) == (full == 60)
