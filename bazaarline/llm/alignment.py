@@ -85,7 +85,9 @@ class Aligner:
         ]
         self.bytes = bytes_a, bytes_b
         self.lengths = [np.array([len(t) for t in side], "i8") for side in self.bytes]
-        self.names = [np.array([str(i) for i in range(len(side))], object) for side in self.bytes]
+        # an id as written inside a group and at its end
+        numbers = [[str(i) for i in range(len(side))] for side in self.bytes]
+        self.names = [[np.array([i + m for i in own], object) for m in (",", mark)] for own, mark in zip(numbers, "|;")]
         # no piece goes on over a space, so no merge does
         self.by_run = not any(" " in piece.decode("utf-8", "replace").lstrip(" ") for piece in bytes_b)
 
@@ -93,8 +95,8 @@ class Aligner:
         """Parts that are aligned each for itself."""
         return [text] if not self.by_run or UNEVEN(text) else text.split(" ")
 
-    def align(self, runs: list[str]) -> Runs:
-        """``space + run`` for each of the runs, none of them empty.
+    def align(self, runs: list[str], as_text: bool = True) -> Runs:
+        """``space + run`` for each of the runs, none of them empty; without ``as_text`` groups are not written.
 
         The good runs are put one after the other: the ends of a run are common ends, so the
         alignment of all is that of each.
@@ -131,13 +133,15 @@ class Aligner:
         tails = [np.cumsum(n) for n in counts]
         of_run = [np.add.reduceat(v, tails[0] - counts[0]) for v in (common.astype("i8"), links)]
         figures[places] = np.column_stack([*counts, *of_run])
+        if not as_text:
+            return Runs(good, figures, pairs, np.cumsum(figures[:, 3]), texts)
 
         # a text per run: the tokens of a group, A before B, each with what follows it
-        closes = [common, np.isin(ends[1], ends[0][common])]
+        closes = [common, np.zeros(len(ids[1]), bool)]
+        closes[1][last[common]] = True
         group = [np.cumsum(c) - c for c in closes]
-        order = np.lexsort((np.repeat([0, 1], [len(g) for g in group]), np.concatenate(group)))
-        marks = [np.where(c, mark, ",") for c, mark in zip(closes, ("|", ";"))]
-        named = np.concatenate([names[own] + m.astype(object) for names, own, m in zip(self.names, ids, marks)])[order]
+        order = np.argsort(np.concatenate([2 * group[0], 2 * group[1] + 1]), kind="stable")
+        named = np.concatenate([np.where(c, close[own], held[own]) for (held, close), own, c in zip(self.names, ids, closes)])[order]
         cut = np.cumsum(counts[0] + counts[1])
         flat = named.tolist()
         for place, a, b in zip(places.tolist(), [0, *cut.tolist()], cut.tolist()):
@@ -173,7 +177,7 @@ class Remembered:
         return self.size > self.bound
 
     def learn(self, runs: list[str]) -> None:
-        made = self.own.align(runs)
+        made = self.own.align(runs, self.table is not None)
         figures = np.zeros((len(runs), len(FIGURES)), "i8")
         figures[:, :4] = made.figures
         if self.table is not None:

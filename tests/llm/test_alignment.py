@@ -139,3 +139,16 @@ def test_odd_rows(odd_docs, no_docs):
     assert sorted(map(tuple, made), key=repr) == sorted(want, key=repr)
     assert alignment.aligned(no_docs, BYTE_RANKS, PIECES).collect() == []
     assert alignment.aligned(odd_docs.where("text is null"), BYTE_RANKS, PIECES).first().n_a == 0
+
+
+def test_the_count_of_pairs_writes_no_groups():
+    """The first pass needs links alone; figures and pairs are those of the second."""
+    own = alignment.aligner(BYTE_RANKS, PIECES)
+    runs = sorted({w for t in fuzz(300) for w in t.split(" ") if w} | {"don't", "漢字", "ﬁn", "x" * 60})
+    full, bare = own.align(runs), own.align(runs, False)
+    assert any(full.groups) and not any(bare.groups)
+    for name in ("good", "figures", "pairs", "ends"):
+        assert (getattr(full, name) == getattr(bare, name)).all()
+    memo = alignment.Remembered(own)
+    memo.learn(runs)
+    assert not memo.texts and memo.size > 0
